@@ -13,7 +13,7 @@ from invoicemill.functions.numbers import MONEY, general_text, money_text, sum_o
 from invoicemill.functions.text import truthy
 from invoicemill.operators.validate import failures
 
-_ZERO = "decimal(12,2)"
+
 
 
 def right_align(c: Column, width: int) -> Column:
@@ -82,7 +82,7 @@ def _financial() -> Column:
 
 
 def _value(item: Column) -> Column:
-    return F.coalesce(item["amount"], F.lit(0).cast(_ZERO))
+    return F.coalesce(item["amount"], F.lit(0).cast(MONEY))
 
 
 def largest_item(items: Column) -> Column:
