@@ -14,13 +14,16 @@ _DIGITS_FROM = "".join(_DIGITS)
 _DIGITS_TO = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
-def rx(pattern: str, *, ignore_case: bool = False, dot_all: bool = False) -> str:
+def rx(pattern: str, *, ignore_case: bool = False, dot_all: bool = False, by_line: bool = False) -> str:
     """JVM form of a pattern: Unicode classes, and only ``\\n`` ends a line.
 
     Letters of a word are L*, N* and the underscore; white space includes U+001C-U+001F.
+    With ``by_line`` the pattern is applied to each line of the text: ``^`` and ``$`` are line
+    ends and white space never reaches into the next line.
     """
-    body = pattern.replace(r"\w", r"[\p{L}\p{N}_]").replace(r"\s", r"[\s\x1c-\x1f]")
-    return f"(?dU{'i' if ignore_case else ''}{'s' if dot_all else ''}){body}"
+    space = r"[[\s\x1c-\x1f]&&[^\n]]" if by_line else r"[\s\x1c-\x1f]"
+    body = pattern.replace(r"\w", r"[\p{L}\p{N}_]").replace(r"\s", space)
+    return f"(?dU{'i' if ignore_case else ''}{'s' if dot_all else ''}{'m' if by_line else ''}){body}"
 
 
 def strip(c: Column) -> Column:
@@ -28,7 +31,8 @@ def strip(c: Column) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+    """NULL for empty text. Unlike ``nullif`` this evaluates ``c`` once inside conditions, too."""
+    return F.get(F.array_remove(F.array(c), F.lit("")), F.lit(0))
 
 
 def find(c: Column, pattern: str, group: int = 1, **flags) -> Column:

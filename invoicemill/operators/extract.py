@@ -63,8 +63,10 @@ def vendor_section(text: Column) -> Column:
 
 
 def vendor_lines(section: Column) -> Column:
+    """Lines of the section but for blank ones, rules and the title (its length is the cheap test)."""
+    is_title = lambda line: (F.length(line) == len(fv.TITLE_LINE)) & (F.upper(line) == fv.TITLE_LINE)
     return F.filter(stripped_lines(section), lambda line: (line != "")
-                    & ~line.rlike(rx(fv.RULE_LINE_PATTERN)) & (F.upper(line) != fv.TITLE_LINE))
+                    & ~line.rlike(rx(fv.RULE_LINE_PATTERN)) & ~is_title(line))
 
 
 def bill_to_lines(text: Column) -> Column:
@@ -84,16 +86,16 @@ def subtotal_text(text: Column) -> Column:
 
 def tax_texts(text: Column) -> tuple[Column, Column]:
     """(rate in percent, amount) as text; the form with a rate goes first."""
-    rated = lambda group: find(text, fv.TAX_WITH_RATE_PATTERN, group, ignore_case=True)
-    return rated(1), F.coalesce(rated(2), find(text, fv.TAX_PATTERN, ignore_case=True))
+    rated = F.regexp_extract(text, rx(fv.TAX_WITH_RATE_PATTERN, ignore_case=True), 0)
+    part = lambda group: find(rated, fv.TAX_WITH_RATE_PATTERN, group, ignore_case=True)
+    return part(1), F.coalesce(part(2), find(text, fv.TAX_PATTERN, ignore_case=True))
 
 
-def total_text(lines: Column) -> Column:
-    """First line that names a total; on that line the last amount so named."""
-    amounts = F.transform(
-        F.filter(lines, lambda line: ~line.rlike(rx("^" + fv.TOTAL_SKIP_PATTERN, ignore_case=True))),
-        lambda line: F.regexp_extract(line, rx("^" + fv.TOTAL_PATTERN, ignore_case=True), 1))
-    return F.get(F.filter(amounts, lambda amount: amount != ""), F.lit(0))
+def total_text(text: Column) -> Column:
+    """First line that names a total and is no subtotal line; on that line the last amount so named.
+    Lines without an amount are passed over first, as that is cheaper to see."""
+    guards = rf"(?=.*\.\d{{2}})(?!\s*{fv.TOTAL_SKIP_PATTERN})"
+    return find(text, "^" + guards + fv.TOTAL_PATTERN, ignore_case=True, by_line=True)
 
 
 # ---- line items ----
@@ -108,18 +110,19 @@ def _cells(line: Column) -> Column:
     return F.split(F.when(wide != line, wide).otherwise(narrow), _CELL_MARK)
 
 
-def item_cells(lines: Column) -> Column:
+def item_cells(text: Column) -> Column:
     """[description, quantity, price, amount] as text for each line that is an item.
 
-    Both item patterns end in a two-decimal amount, so other lines are dropped before
-    the costly patterns run.
+    Both item patterns end in a two-decimal amount, so only lines that do are taken from the
+    text; the costly patterns see no others.
     """
-    candidates = F.filter(lines, lambda line: F.right(line, F.lit(3)).rlike(rx(r"^\.\d{2}$"))
-                          & ~line.rlike(rx(fv.RULE_LINE_PATTERN))
-                          & ~line.rlike(rx("^" + fv.ITEM_HEADER_PATTERN, ignore_case=True))
-                          & ~line.rlike(rx(fv.ITEM_SKIP_PATTERN, ignore_case=True)))
-    return F.filter(F.transform(candidates, _cells), lambda cells: (F.size(cells) == 4)
-                    & ~F.lower(strip(cells[0])).isin(fv.ITEM_SKIP_DESCRIPTIONS))
+    ends_in_amount = F.regexp_extract_all(text, F.lit(rx(r"^.*\.\d{2}\s*$", by_line=True)), F.lit(0))
+    candidates = F.filter(F.transform(ends_in_amount, strip), lambda line: (
+        ~line.rlike(rx("^" + fv.ITEM_HEADER_PATTERN, ignore_case=True))
+        & ~line.rlike(rx(fv.ITEM_SKIP_PATTERN, ignore_case=True))))
+    skipped = lambda name: (F.length(name).isin(*{len(d) for d in fv.ITEM_SKIP_DESCRIPTIONS})
+                            & F.lower(name).isin(fv.ITEM_SKIP_DESCRIPTIONS))
+    return F.filter(F.transform(candidates, _cells), lambda cells: (F.size(cells) == 4) & ~skipped(strip(cells[0])))
 
 
 def line_items(cells: Column) -> Column:
@@ -172,11 +175,10 @@ def extract(documents: DataFrame, text: str = "raw_text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     split = documents.withColumns({
         "_section": vendor_section(body),
-        "_lines": stripped_lines(body),
     }).withColumns({
         "_vendor_lines": vendor_lines(F.col("_section")),
         "_bill_to_lines": bill_to_lines(body),
-        "_cells": item_cells(F.col("_lines")),
+        "_cells": item_cells(body),
     })
 
     rate_text, tax_text = tax_texts(body)
@@ -184,7 +186,7 @@ def extract(documents: DataFrame, text: str = "raw_text") -> DataFrame:
         "_vendor_city_line": _city_line(F.col("_vendor_lines"), 3),
         "_bill_to_city_line": _city_line(F.col("_bill_to_lines"), 2),
         "_subtotal": subtotal_text(body), "_rate": rate_text, "_tax": tax_text,
-        "_total": total_text(F.col("_lines")),
+        "_total": total_text(body),
         "line_items": line_items(F.col("_cells")),
     }).withColumns({
         "invoice_number": invoice_number(body),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from invoicemill.functions.numbers import MONEY, QUANTITY, TAX_RATE
 from invoicemill.operators.extract import confidence
 from invoicemill.operators.hot_keys import join_to_unique, numbers_within
+from invoicemill.operators.render import render
 from invoicemill.operators.validate import validate
 from invoicemill.schemas import SILVER_EXTRA, SILVER_INVOICES, SILVER_LINE_ITEMS, names
 from invoicemill.session import written
@@ -152,3 +153,21 @@ def silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def line_counts(invoices: DataFrame) -> DataFrame:
     """Rows per document in the line table, which the header table already knows."""
     return invoices.select("document_id", F.col("line_item_count").alias("row_count"))
+
+
+_rendered: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
+def land_corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fault-free headers, their line items, and the invoice texts rendered from both."""
+    clean = written(headers(spark, sf_dir, faults=False), "clean-headers")
+    lines = written(numbered_lines(spark, sf_dir), "clean-lines")
+    return clean, lines, written(render(clean, lines), "invoice-texts")
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rendered corpus, landed once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _rendered:
+        _rendered[key] = land_corpus(spark, sf_dir)
+    return _rendered[key]
