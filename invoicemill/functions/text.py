@@ -44,8 +44,20 @@ def find_first(c: Column, patterns: list[str], **flags) -> Column:
     return F.coalesce(*[find(c, p, **flags) for p in patterns])
 
 
-def stripped_lines(c: Column) -> Column:
-    return F.transform(F.split(c, "\n"), strip)
+_NOT_SPACE = r"[^\s\x1c-\x1f]"
+
+
+def filled_lines(c: Column, unless: str = "", until: str = "") -> Column:
+    """Stripped lines of a text that are not blank, in order.
+
+    ``unless``: pattern that must not match at the first character of a line;
+    ``until``: pattern that the line must end with.
+    """
+    guard = f"(?!{unless})" if unless else ""
+    body = f"({guard}{_NOT_SPACE}.*{until})\\s*$" if until else f"({guard}{_NOT_SPACE}(?:.*{_NOT_SPACE})?)"
+    # _NOT_SPACE is in the dialect of the JVM already, so only the rest is translated.
+    pattern = rx(r"^\s*" + body.replace(_NOT_SPACE, "\0"), by_line=True).replace("\0", _NOT_SPACE)
+    return F.regexp_extract_all(c, F.lit(pattern), F.lit(1))
 
 
 def ascii_digits(c: Column) -> Column:

@@ -11,7 +11,7 @@ from invoicemill.functions import fixed_values as fv
 from invoicemill.functions.dates import labelled_date
 from invoicemill.functions.numbers import MONEY, PARSED_QUANTITY, TAX_RATE, parse_number, sum_of
 from invoicemill.functions.text import (
-    blank_to_null, find, find_first, present, rx, strip, stripped_lines, truthy,
+    filled_lines, find, find_first, present, rx, strip, truthy,
 )
 
 # A hit can only begin where a run of its leading class begins. Saying so keeps the search
@@ -63,15 +63,12 @@ def vendor_section(text: Column) -> Column:
 
 
 def vendor_lines(section: Column) -> Column:
-    """Lines of the section but for blank ones, rules and the title (its length is the cheap test)."""
-    is_title = lambda line: (F.length(line) == len(fv.TITLE_LINE)) & (F.upper(line) == fv.TITLE_LINE)
-    return F.filter(stripped_lines(section), lambda line: (line != "")
-                    & ~line.rlike(rx(fv.RULE_LINE_PATTERN)) & ~is_title(line))
+    """Lines of the section but for blank ones, rules and the title."""
+    return filled_lines(section, unless=rf"{fv.RULE_LINE_PATTERN[1:-1]}\s*$|(?i:{fv.TITLE_LINE})\s*$")
 
 
 def bill_to_lines(text: Column) -> Column:
-    section = F.regexp_extract(text, rx(fv.BILL_TO_SECTION_PATTERN, ignore_case=True, dot_all=True), 1)
-    return F.filter(stripped_lines(section), lambda line: line != "")
+    return filled_lines(F.regexp_extract(text, rx(fv.BILL_TO_SECTION_PATTERN, ignore_case=True, dot_all=True), 1))
 
 
 def party(lines: Column, city_line: Column) -> list[Column]:
@@ -116,10 +113,8 @@ def item_cells(text: Column) -> Column:
     Both item patterns end in a two-decimal amount, so only lines that do are taken from the
     text; the costly patterns see no others.
     """
-    ends_in_amount = F.regexp_extract_all(text, F.lit(rx(r"^.*\.\d{2}\s*$", by_line=True)), F.lit(0))
-    candidates = F.filter(F.transform(ends_in_amount, strip), lambda line: (
-        ~line.rlike(rx("^" + fv.ITEM_HEADER_PATTERN, ignore_case=True))
-        & ~line.rlike(rx(fv.ITEM_SKIP_PATTERN, ignore_case=True))))
+    no_item = f"(?i:{fv.ITEM_HEADER_PATTERN}|{fv.ITEM_SKIP_PATTERN[1:]})"
+    candidates = filled_lines(text, unless=no_item, until=r"\.\d{2}")
     skipped = lambda name: (F.length(name).isin(*{len(d) for d in fv.ITEM_SKIP_DESCRIPTIONS})
                             & F.lower(name).isin(fv.ITEM_SKIP_DESCRIPTIONS))
     return F.filter(F.transform(candidates, _cells), lambda cells: (F.size(cells) == 4) & ~skipped(strip(cells[0])))

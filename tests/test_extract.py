@@ -130,6 +130,11 @@ def test_line_item(spark, line, want):
         assert [tuple(i)[1:] for i in items] == ([want] if want else [])
 
 
+def test_vendor_lines(spark):
+    text = "\n ==== \n\tInvoice \n ınvoıce\nINVOICE 7\n=-= x\n \u00a0\n─═\x1c\nAcme \x1d Ltd\u2003\n\r\nA\nInvoices"
+    assert one(spark, text, x.vendor_lines) == ["INVOICE 7", "=-= x", "Acme \x1d Ltd", "A", "Invoices"]
+
+
 def test_bill_to_needs_its_own_line_and_an_end(spark):
     text = spark.createDataFrame([(1, "Bill To: Acme"), (2, "Bill To:\nAcme\n1 St, Rome, NY 13440\n" + "-" * 10),
                                   (3, "Bill To:\nAcme\nInvoice Date: x"), (4, "Bill To:\nAcme\n")],
