@@ -235,6 +235,14 @@ def _extracted(spark, sf_dir):
     return ex.flatten(ex.extract(ot.corpus(spark, sf_dir)[2]))
 
 
+def default_amounts(spark, sf_dir):
+    """Line amounts, some withheld and then made up from quantity and price."""
+    price = F.col("l_extendedprice").cast(numbers.MONEY)
+    held = F.when(F.col("l_returnflag") != "R", price)
+    filled = ex.default_amount(F.col("l_quantity").cast(numbers.PARSED_QUANTITY), price, held)
+    return ot.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", filled.alias("amount"))
+
+
 def roundtrip_header(spark, sf_dir):
     return _extracted(spark, sf_dir).select(
         "document_id", "sheet", "invoice_number", "invoice_date", "due_date", "po_number", "subtotal", "tax_rate",
@@ -275,14 +283,18 @@ def run_counts(spark, sf_dir):
 
 # ---- extraction from free text ----
 
+def _documents(spark, sf_dir):
+    return tables.enough_tasks(ot.table(spark, sf_dir, "documents"))
+
+
 def doc_contacts(spark, sf_dir):
     text = F.col("text")
-    return ot.table(spark, sf_dir, "documents").select("doc_id", ex.phone(text).alias("phone"), ex.email(text).alias("email"))
+    return _documents(spark, sf_dir).select("doc_id", ex.phone(text).alias("phone"), ex.email(text).alias("email"))
 
 
 def doc_fields(spark, sf_dir):
     """The whole record over texts that are no invoices."""
-    records = ex.flatten(ex.extract(ot.table(spark, sf_dir, "documents"), "text"))
+    records = ex.flatten(ex.extract(_documents(spark, sf_dir), "text"))
     return records.select("doc_id", "invoice_number", "invoice_date", "due_date", "po_number", "vendor_name",
                           "vendor_address", "vendor_city", "vendor_state", "vendor_zip", "vendor_phone", "vendor_email",
                           "subtotal", "tax_rate", "tax_amount", "total_amount", "line_item_count", "parse_confidence",
@@ -293,7 +305,7 @@ def doc_fields(spark, sf_dir):
 
 def bronze_documents(spark, sf_dir):
     documents = tables.documents_from_table(ot.table(spark, sf_dir, "documents"), "doc_id", "text")
-    return layers.bronze(documents, F.lit(LOADED_AT).cast("timestamp_ntz"))
+    return layers.bronze(documents, layers.as_timestamp(LOADED_AT))
 
 
 def silver_invoices(spark, sf_dir):
@@ -354,6 +366,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     kpis, spend_by_vendor, spend_by_date, summary_by_date_desc, top_line_items, recent_submissions, loader_summary,
     dq_report, totals_mismatch, validate_rules, rule_summary, validate_status, rule_failures, gold_rejects, load_status,
     completion_rate, vendor_id_sha16, parse_currency, edits_applied, edits_log, vendor_upsert, rendered_texts,
-    roundtrip_header, roundtrip_parties, roundtrip_items, confidence, digest_brief, digest_full, insights, run_counts,
+    default_amounts, roundtrip_header, roundtrip_parties, roundtrip_items, confidence, digest_brief, digest_full, insights, run_counts,
     doc_contacts, doc_fields, bronze_documents, silver_invoices, silver_line_items, ingest_files, stream_ingest,
     stream_vendors, stream_line_facts)}

@@ -319,6 +319,43 @@ remarks AS (
               faults=False)
 
 
+def digest_sql() -> str:
+    nl, dash = "chr(10)", "repeat('-', 40)"
+    right = lambda x: f"repeat(' ', greatest(12 - length({x}), 0)) || {x}"
+    join = lambda *parts: f"concat_ws({nl}, {', '.join(parts)})"
+    g = "format('{:g}', CAST(quantity AS DOUBLE))"
+    percent = lambda x: f"CAST(CAST(round_even({x} * 100, 0) AS INTEGER) AS VARCHAR) || '%'"
+    listed = lambda title, col, n: f"CASE WHEN {n} > 0 THEN {nl} || '{title} (' || {n} || '):' || {nl} || {col} END"
+    header = join("'DOCUMENT SUMMARY'", "repeat('=', 40)", "'Invoice Number:  ' || invoice_number",
+                  "'Invoice Date:    ' || strftime(invoice_date, '%B %d, %Y')", "'Due Date:        ' || strftime(due_date, '%B %d, %Y')",
+                  "'Payment Terms:   Net ' || date_diff('day', invoice_date, due_date)", "'PO Reference:    ' || po_number")
+    vendor = join("'VENDOR'", dash, "'Name:    ' || vendor_name",
+                  "'Address: ' || vendor_address || ', ' || vendor_city || ', ' || vendor_state || ' ' || vendor_zip",
+                  "'Phone:   ' || vendor_phone", "'Email:   ' || vendor_email")
+    money_part = join("'FINANCIAL SUMMARY'", dash, f"'Subtotal:    $' || {right(money('subtotal'))}",
+                      f"'Tax:         $' || {right(money('tax_amount'))} || '  (8.00%)'", "repeat('=', 30)",
+                      f"'TOTAL:       $' || {right(money('total_amount'))} || '  USD'")
+    quality = join("'DATA QUALITY'", dash, "'Status: ' || CASE validation_status WHEN 'passed' THEN 'PASSED - All checks OK' "
+                   "WHEN 'failed' THEN 'FAILED - Errors found' ELSE 'REVIEW NEEDED - Warnings present' END",
+                   "'Rules checked: ' || total_rules", "'Passed: ' || passed",
+                   listed("Errors", "error_list", "errors"), listed("Warnings", "warning_list", "warnings"))
+    score = join("'EXTRACTION QUALITY'", dash, f"'Confidence: ' || {percent('confidence')} || ' (' || CASE WHEN confidence >= 0.9 THEN 'High' "
+                 "WHEN confidence >= 0.7 THEN 'Medium' ELSE 'Low' END || ')'", f"'Key fields extracted: ' || {percent(COMPLETION)}")
+    items = f"""item_parts AS (
+  SELECT document_id, sheet, {join("'LINE ITEMS (' || count(*) || ' items)'", dash,
+    f"string_agg('  ' || (line_number - sheet * {SHEET}) || '. ' || description || ' — Qty: ' || {g} || ' x $' || {money('unit_price')} || ' = $' || {money('line_amount')}, {nl} ORDER BY line_number)",
+    f"{nl} || '  Highest value item: ' || list_extract(list(description ORDER BY line_amount DESC, line_number), 1) || ' ($' || {money('max(line_amount)')} || ')'")} AS item_part
+  FROM sheet_lines GROUP BY document_id, sheet),
+messages AS (
+  SELECT document_id, string_agg('  - ' || message, {nl} ORDER BY rule_number) FILTER (severity = 'error') AS error_list,
+    string_agg('  - ' || message, {nl} ORDER BY rule_number) FILTER (severity = 'warning') AS warning_list
+  FROM rule_results WHERE NOT passed GROUP BY document_id),
+scored AS (SELECT *, {CONFIDENCE} AS confidence FROM sheets)"""
+    return on(f"""SELECT document_id, sheet, concat_ws({nl} || {nl}, {header}, {vendor}, {money_part}, item_part, {quality}, {score}) AS digest
+FROM scored JOIN statuses USING (document_id) LEFT JOIN item_parts USING (document_id, sheet) LEFT JOIN messages USING (document_id)""",
+              *JUDGED, SHEETS_CTE, LINES_CTE, SHEET_LINES_CTE, items, faults=False)
+
+
 # Unicode white space and word characters for a regex engine whose own classes are ASCII.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -508,7 +545,10 @@ WHERE vendor_phone <> '' AND phone <> '' AND phone <> vendor_phone""", EDITS_CTE
         "confidence": on(f"""SELECT document_id, sheet, {CONFIDENCE} AS parse_confidence, {COMPLETION} AS key_field_rate, n_items AS line_item_count
 FROM sheets""", SHEETS_CTE, faults=False),
         "digest_brief": on(f"SELECT document_id, sheet, {brief} AS digest_brief FROM sheets", SHEETS_CTE, faults=False),
+        "digest_full": digest_sql(),
         "insights": insights_sql(),
+        "default_amounts": """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(12,2))
+  ELSE CAST(l_quantity * CAST(round(l_extendedprice * 100) AS BIGINT) / 100 AS DECIMAL(12,2)) END AS amount FROM lineitem""",
         "run_counts": on("""SELECT count(*) AS found, count(*) AS parsed, count(*) AS extracted, count(*) FILTER (validation_status <> 'failed') AS loaded
 FROM sheets JOIN statuses USING (document_id)""", *JUDGED, SHEETS_CTE, faults=False),
         "doc_contacts": f"SELECT doc_id, {found('text', PHONE, 0, '')} AS phone, {found('text', EMAIL, 0, '')} AS email FROM documents",

@@ -25,6 +25,11 @@ from invoicemill.schemas import SILVER_EXTRA, SILVER_INVOICES, SILVER_LINE_ITEMS
 from invoicemill.sources.files import exists
 
 
+def as_timestamp(moment: datetime.datetime) -> Column:
+    """Literal without a time zone (``lit`` of a datetime would shift it by the local zone)."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 # ---- rows of each table ----
 
 def bronze(parse_results: DataFrame, ingested_at: Column) -> DataFrame:
@@ -148,12 +153,13 @@ class Layers:
         Documents that an earlier load has are left out, so vendors are counted once per document.
         ``edits`` correct extracted fields after the rules ran.
         """
-        at = F.lit(loaded_at or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None, microsecond=0))
-        at = at.cast("timestamp_ntz")
+        at = as_timestamp(loaded_at or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None, microsecond=0))
         put = (lambda df, *_: df) if dry_run else self._put
         known = self._earlier("silver/parsed_invoices", batch_id)
         if known is not None:
-            parse_results = parse_results.join(known.select("document_id"), "document_id", "left_anti")
+            # The history is reduced to the ids of this load first; its side of the join may be far larger.
+            seen = known.select("document_id").join(parse_results.select("document_id"), "document_id", "left_semi")
+            parse_results = parse_results.join(seen, "document_id", "left_anti")
         raw = put(bronze(parse_results, at), "bronze/raw_documents", batch_id)
         records = put(parsed_documents(raw, at, as_of).drop("raw_text"), "work/parsed_documents", batch_id)
         if edits is not None:
