@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from invoicemill.functions import fixed_values as fv
-from invoicemill.functions.text import ascii_digits, strip
+from invoicemill.functions.text import ascii_digits
 
 MONEY = "decimal(12,2)"
 QUANTITY = "decimal(10,2)"
@@ -21,7 +21,7 @@ def parse_number(c: Column, as_type: str) -> Column:
 def parse_currency(c: Column) -> Column:
     """``$1,234.5`` and the like to DECIMAL(12,2); junk, empty text and overflow are NULL."""
     bare = F.regexp_replace(c, fv.CURRENCY_SYMBOLS_PATTERN, "")
-    return ascii_digits(strip(bare)).try_cast(MONEY)
+    return F.regexp_replace(bare, fv.OUTER_SPACE_PATTERN, "").try_cast(MONEY)
 
 
 def float_text(c: Column) -> Column:

@@ -7,6 +7,8 @@ more than ``HOT_KEYS`` rows, and what is left for the shuffle is even enough.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from invoicemill.session import written
@@ -59,16 +61,17 @@ def dense_numbers(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     A window over everything would run in one task. Instead the rows are range-partitioned, sorted and written
     with their place inside the range; the ranges' sizes then give each range its offset.
     Writing first fixes the ranges, so that both steps see the same ones, retries included.
+    Only the sizes reach the driver: one number per shuffle partition, whatever the size of the data.
     """
     ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     stored = written(ranged.withColumns({
         "_range": F.spark_partition_id(),
         "_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
     }), f"ranges-{name}")
-    sizes = stored.groupBy("_range").agg(F.count("*").alias("_size"))
-    # One row per shuffle partition, whatever the size of the data: small enough for one task.
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    sizes = sorted(tuple(row) for row in stored.groupBy("_range").agg(F.count("*")).collect())
+    starts = accumulate((size for _, size in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(number, start) for (number, _), start in zip(sizes, starts)], "_range int, _offset bigint")
     return stored.join(F.broadcast(offsets), "_range").select(
         *df.columns, (F.col("_offset") + F.col("_place") + 1).cast("bigint").alias(name))
 

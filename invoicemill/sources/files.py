@@ -88,5 +88,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
