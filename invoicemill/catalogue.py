@@ -322,17 +322,14 @@ def silver_line_items(spark, sf_dir):
 def ingest_files(spark, sf_dir):
     """The documents written as one text file each and read back as a folder of files."""
     folder = _once("files", spark, sf_dir, lambda: _write_files(spark, sf_dir))
-    read = files.read_folder(spark, folder, recursive=True)
-    return read.select(
-        F.regexp_extract("source_path", "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc_id"), "file_type",
-        "file_size_bytes", F.length("text").cast("bigint").alias("text_length"), F.md5("text").alias("text_md5"),
-        "reject_reason")
+    return files.read_folder(spark, folder).select(
+        "file_type", "file_size_bytes", F.length("text").cast("bigint").alias("text_length"),
+        F.md5("text").alias("text_md5"), "reject_reason")
 
 
 def _write_files(spark, sf_dir):
     folder = new_folder(spark, "document-files")
-    (ot.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
-     .repartition("doc_id").write.partitionBy("doc_id").text(folder))
+    _documents(spark, sf_dir).select(F.col("text").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
     return folder
 
 

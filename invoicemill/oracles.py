@@ -559,8 +559,8 @@ FROM sheets JOIN statuses USING (document_id)""", *JUDGED, SHEETS_CTE, faults=Fa
         "silver_invoices": on(f"SELECT {silver} FROM invoices", *INVOICES),
         "silver_line_items": on("""SELECT line_item_id, l.document_id, line_number, description, quantity, unit_price, line_amount,
   parse_confidence AS extraction_confidence FROM lines l JOIN invoices i ON l.document_id = i.document_id""", *INVOICES, LINES_CTE),
-        "ingest_files": r"""WITH t AS (SELECT doc_id, strlen(text) + 1 AS size, regexp_replace(text || chr(10), '\r\n?', chr(10), 'g') AS text FROM documents)
-SELECT doc_id, 'txt' AS file_type, CAST(size AS BIGINT) AS file_size_bytes, CAST(length(text) AS BIGINT) AS text_length, md5(text) AS text_md5,
+        "ingest_files": r"""WITH t AS (SELECT strlen(text) + 1 AS size, regexp_replace(text || chr(10), '\r\n?', chr(10), 'g') AS text FROM documents)
+SELECT 'txt' AS file_type, CAST(size AS BIGINT) AS file_size_bytes, CAST(length(text) AS BIGINT) AS text_length, md5(text) AS text_md5,
   CAST(NULL AS VARCHAR) AS reject_reason FROM t""",
         "stream_ingest": on(f"SELECT {silver.replace('parse_timestamp', '''TIMESTAMP '2001-08-01 00:00:00' AS parse_timestamp''')} FROM invoices",
                             *INVOICES, faults=False),

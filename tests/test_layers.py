@@ -175,3 +175,8 @@ def test_currency(spark):
     codes = tables.currency_codes(spark)
     got = tables.with_currency(spark.createDataFrame([("usd ",), ("XXX",)], "c string"), codes, F.col("c")).collect()
     assert {r.c: r.symbol for r in got} == {"usd ": "$", "XXX": None}
+
+
+def test_currency_file(spark, tmp_path):
+    (tmp_path / "codes.csv").write_text("currency_code,currency_name,symbol\nCHF,Swiss Franc,Fr\n", encoding="utf-8")
+    assert [tuple(r) for r in tables.currency_codes(spark, str(tmp_path / "codes.csv")).collect()] == [("CHF", "Swiss Franc", "Fr")]
