@@ -23,13 +23,14 @@ def row_counts(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count"))
 
 
-def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return (counts.where(F.col("row_count") > hot_rows)
+def hot_keys(counts: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """The heaviest keys above ``hot_rows`` (HOT_ROWS unless given), at most HOT_KEYS of them."""
+    return (counts.where(F.col("row_count") > (hot_rows or HOT_ROWS))
             .orderBy(F.desc("row_count"), key).limit(HOT_KEYS).select(key))
 
 
 def join_to_unique(facts: DataFrame, dimension: DataFrame, key: str, *, spread: list[str], how: str = "left",
-                   counts: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                   counts: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Join rows to a side that has at most one row per key (``how``: left, inner or left_semi).
 
     Rows of hot keys take their match from a broadcast of at most HOT_KEYS rows and are then
@@ -89,7 +90,7 @@ def tell_copies_apart(df: DataFrame, name: str, copies_per_row: int = COPIES_PER
 
 
 def numbers_within(df: DataFrame, group: str, order_by: list[str], name: str, *,
-                   hot_rows: int = HOT_ROWS, copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
+                   hot_rows: int | None = None, copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
     """``row_number`` per group; rows equal in ``order_by`` must be copies of each other.
 
     Groups too large for one task (at most HOT_KEYS keys reach the driver) are numbered by

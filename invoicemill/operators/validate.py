@@ -9,6 +9,8 @@ an invoice with very many lines is judged without gathering its lines.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,26 +21,36 @@ from invoicemill.functions.text import rx, truthy
 _TEXT = "string"
 
 
+class Result(NamedTuple):
+    """One rule's verdict, apart from its full record, so that the status alone needs no messages."""
+    passed: Column
+    severity: Column
+    record: Column
+
+
 def _result(rule: str, passed, severity: str, message: Column, field: str | None = None,
-            expected: Column | None = None, actual: Column | None = None) -> Column:
+            expected: Column | None = None, actual: Column | None = None) -> Result:
     null = F.lit(None).cast(_TEXT)
     passed = F.lit(passed) if isinstance(passed, bool) else passed
-    return F.struct(F.lit(rule).alias("rule_name"), passed.alias("passed"), F.lit(severity).alias("severity"),
-                    message.alias("message"), F.lit(field).cast(_TEXT).alias("field_name"),
-                    (null if expected is None else expected).alias("expected"),
-                    (null if actual is None else actual).alias("actual"))
+    record = F.struct(F.lit(rule).alias("rule_name"), passed.alias("passed"), F.lit(severity).alias("severity"),
+                      message.alias("message"), F.lit(field).cast(_TEXT).alias("field_name"),
+                      (null if expected is None else expected).alias("expected"),
+                      (null if actual is None else actual).alias("actual"))
+    return Result(passed, F.lit(severity), record)
 
 
-def _skip(rule: str, why: str) -> Column:
-    return _result(rule, True, fv.WARNING, F.lit(why))
+def _checked_if(possible: Column, checked: Result, rule: str, why_not: str) -> Result:
+    """The check where it is possible; elsewhere a pass that says why it was skipped."""
+    skipped = _result(rule, True, fv.WARNING, F.lit(why_not))
+    return Result(*(F.when(possible, ours).otherwise(theirs) for ours, theirs in zip(checked, skipped)))
 
 
 def _within(a: Column, b: Column) -> Column:
     return F.abs(a - b) <= F.lit(fv.AMOUNT_TOLERANCE).cast(MONEY)
 
 
-def required_fields(as_of: Column) -> list[Column]:
-    def check(label: str, column: str, required: bool) -> Column:
+def required_fields(as_of: Column) -> list[Result]:
+    def check(label: str, column: str, required: bool) -> Result:
         found = F.col(column).isNotNull()
         state = F.when(found, "present").otherwise("missing")
         return _result("required_field", found, fv.ERROR if required else fv.WARNING,
@@ -48,28 +60,28 @@ def required_fields(as_of: Column) -> list[Column]:
             check("total_amount", "total_amount", True), check("invoice_date", "invoice_date", False)]
 
 
-def invoice_number_format(as_of: Column) -> list[Column]:
+def invoice_number_format(as_of: Column) -> list[Result]:
     number = F.col("invoice_number")
     fits = number.rlike(rx(fv.INVOICE_NUMBER_FORMAT))
     verdict = F.when(fits, "matches").otherwise("does not match")
     checked = _result("invoice_number_format", fits, fv.WARNING,
                       F.concat(F.lit("Invoice number '"), number, F.lit("' "), verdict, F.lit(" expected format")),
                       "invoice_number", actual=number)
-    skipped = _skip("invoice_number_format", "Invoice number not present, skipping format check")
-    return [F.when(truthy(number), checked).otherwise(skipped)]
+    return [_checked_if(truthy(number), checked, "invoice_number_format",
+                        "Invoice number not present, skipping format check")]
 
 
 def _amount_rule(rule: str, severity: str, field: str, expected: Column, can_check: Column, skip: str,
-                 message) -> list[Column]:
+                 message) -> list[Result]:
     actual = F.col(field)
     fits = _within(actual, expected)
     verdict = F.when(fits, "matches").otherwise("does not match")
     checked = _result(rule, fits, severity, message(float_text(actual), verdict, float_text(expected)), field,
                       float_text(expected), float_text(actual))
-    return [F.when(can_check, checked).otherwise(_skip(rule, skip))]
+    return [_checked_if(can_check, checked, rule, skip)]
 
 
-def total_matches_components(as_of: Column) -> list[Column]:
+def total_matches_components(as_of: Column) -> list[Result]:
     expected = F.col("subtotal") + F.coalesce("tax_amount", F.lit(0).cast(MONEY))
     return _amount_rule(
         "total_matches_components", fv.ERROR, "total_amount", expected,
@@ -78,7 +90,7 @@ def total_matches_components(as_of: Column) -> list[Column]:
         lambda a, v, e: F.concat(F.lit("Total ("), a, F.lit(") "), v, F.lit(" subtotal + tax ("), e, F.lit(")")))
 
 
-def subtotal_matches_line_items(as_of: Column) -> list[Column]:
+def subtotal_matches_line_items(as_of: Column) -> list[Result]:
     return _amount_rule(
         "subtotal_matches_line_items", fv.ERROR, "subtotal", F.col("line_items_total"),
         truthy(F.col("line_item_count"), "number") & truthy(F.col("subtotal"), "number"),
@@ -86,7 +98,7 @@ def subtotal_matches_line_items(as_of: Column) -> list[Column]:
         lambda a, v, e: F.concat(F.lit("Subtotal ("), a, F.lit(") "), v, F.lit(" sum of line items ("), e, F.lit(")")))
 
 
-def tax_calculation(as_of: Column) -> list[Column]:
+def tax_calculation(as_of: Column) -> list[Result]:
     expected = F.round(F.col("subtotal") * F.col("tax_rate"), 2)
     return _amount_rule(
         "tax_calculation", fv.WARNING, "tax_amount", expected,
@@ -95,7 +107,7 @@ def tax_calculation(as_of: Column) -> list[Column]:
         lambda a, v, e: F.concat(F.lit("Tax amount ("), a, F.lit(") "), v, F.lit(" expected ("), e, F.lit(")")))
 
 
-def date_range(as_of: Column) -> list[Column]:
+def date_range(as_of: Column) -> list[Result]:
     day = F.col("invoice_date")
     oldest, newest = F.date_sub(as_of, fv.MAX_INVOICE_AGE_DAYS), F.date_add(as_of, fv.MAX_DAYS_AHEAD)
     inside = day.between(oldest, newest)
@@ -103,21 +115,21 @@ def date_range(as_of: Column) -> list[Column]:
                        F.when(inside, "within").otherwise("outside"), F.lit(" expected range ("),
                        oldest.cast(_TEXT), F.lit(" to "), newest.cast(_TEXT), F.lit(")"))
     checked = _result("date_range", inside, fv.WARNING, message, "invoice_date", actual=day.cast(_TEXT))
-    return [F.when(day.isNotNull(), checked).otherwise(_skip("date_range", "No invoice date to validate"))]
+    return [_checked_if(day.isNotNull(), checked, "date_range", "No invoice date to validate")]
 
 
-def due_date_order(as_of: Column) -> list[Column]:
+def due_date_order(as_of: Column) -> list[Result]:
     issued, due = F.col("invoice_date"), F.col("due_date")
     ordered = due >= issued
     message = F.concat(F.lit("Due date ("), due.cast(_TEXT), F.lit(") is "),
                        F.when(ordered, "on or after").otherwise("before"),
                        F.lit(" invoice date ("), issued.cast(_TEXT), F.lit(")"))
     checked = _result("due_date_order", ordered, fv.WARNING, message, "due_date")
-    return [F.when(issued.isNotNull() & due.isNotNull(), checked)
-            .otherwise(_skip("due_date_order", "Cannot compare dates (one or both missing)"))]
+    return [_checked_if(issued.isNotNull() & due.isNotNull(), checked, "due_date_order",
+                        "Cannot compare dates (one or both missing)")]
 
 
-def amounts_positive(as_of: Column) -> list[Column]:
+def amounts_positive(as_of: Column) -> list[Result]:
     negative = F.concat_ws(", ", *[F.when(F.col(name) < 0, F.lit(f"'{name}'"))
                                    for name in ("subtotal", "tax_amount", "total_amount")])
     message = F.when(negative == "", "All amounts are positive").otherwise(
@@ -125,16 +137,15 @@ def amounts_positive(as_of: Column) -> list[Column]:
     return [_result("amounts_positive", negative == "", fv.ERROR, message)]
 
 
-def line_items_complete(as_of: Column) -> list[Column]:
+def line_items_complete(as_of: Column) -> list[Result]:
     missing, count = F.col("line_items_missing"), F.col("line_item_count")
     message = F.concat(F.when(missing == 0, "All").otherwise(F.concat(missing.cast(_TEXT), F.lit(" of"))),
                        F.lit(" "), count.cast(_TEXT), F.lit(" line items have amounts"))
     checked = _result("line_items_complete", missing == 0, fv.WARNING, message, "line_items")
-    return [F.when(truthy(count, "number"), checked)
-            .otherwise(_skip("line_items_complete", "No line items to validate"))]
+    return [_checked_if(truthy(count, "number"), checked, "line_items_complete", "No line items to validate")]
 
 
-def vendor_contact_info(as_of: Column) -> list[Column]:
+def vendor_contact_info(as_of: Column) -> list[Result]:
     complete = truthy(F.col("vendor_name")) & (truthy(F.col("vendor_phone")) | truthy(F.col("vendor_email")))
     message = F.concat(F.lit("Vendor "), F.when(complete, "has").otherwise("missing"),
                        F.lit(" name and contact info"))
@@ -151,14 +162,12 @@ def as_day(as_of: datetime.date | str | None) -> Column:
 
 
 def validate(invoices: DataFrame, as_of: datetime.date | str | None = None, rules=None) -> DataFrame:
-    """Adds ``rules`` (array of results) and ``validation_status``."""
-    day = as_day(as_of)
-    results = F.array(*[result for rule in (rules or RULES) for result in rule(day)])
-    judged = invoices.withColumn("rules", results)
-    failed = lambda severity: F.exists("rules", lambda r: ~r.passed & (r.severity == severity))
-    return judged.withColumn(
-        "validation_status",
-        F.when(failed(fv.ERROR), fv.FAILED).when(failed(fv.WARNING), fv.REVIEW_NEEDED).otherwise(fv.PASSED))
+    """Adds ``rules`` (array of results) and ``validation_status``: failed with any failed error,
+    else review_needed with any failed warning, else passed."""
+    results = [result for rule in (rules or RULES) for result in rule(as_day(as_of))]
+    failed = lambda severity: reduce(Column.__or__, (~r.passed & (r.severity == severity) for r in results))
+    status = F.when(failed(fv.ERROR), fv.FAILED).when(failed(fv.WARNING), fv.REVIEW_NEEDED).otherwise(fv.PASSED)
+    return invoices.withColumns({"rules": F.array(*[r.record for r in results]), "validation_status": status})
 
 
 # ---- views of the results ----
