@@ -69,8 +69,6 @@ def truthy(c: Column, kind: str = "text") -> Column:
     """Neither NULL nor empty (text) nor zero (number)."""
     if kind == "number":
         return F.coalesce(c != 0, F.lit(False))
-    if kind == "date":
-        return c.isNotNull()
     return F.coalesce(c != "", F.lit(False))
 
 
