@@ -5,20 +5,23 @@
 2. Inverted lists: retained values held by one class only lead nowhere. Two sets as similar as the threshold
    share many retained values, so it is enough that each class enters the lists of its rarest ones (the prefix of its sketch in the order
    of rising frequency). Values of passages that very many documents share are at the end of that order.
-3. Overlaps from the lists give candidate pairs. The sketch of the union estimates their similarity and drops what is
-   far below the threshold; the whole sets of the rest are compared.
+3. Each list has a leader, its class of the least hash, and every class is compared with the leaders that it met. Groups of near copies
+   fall into few components that way, with one pair per class and leader.
+4. What is left are pairs around one leader that are in different components. The classes around a leader are dealt into
+   blocks, and two blocks are compared in one task by the overlap of their sketches. Few passing pairs become rows: the sketch of the union
+   estimates their similarity and whole sets decide. A block with very many passing pairs (a dense group of copies that drift apart)
+   gets the whole sets instead, and only a spanning forest of its links leaves the task.
 
-Classes that share lists are not paired all with all. In a round each class meets one leader of its lists, the one it shares most lists
-with; groups of near copies fall into one component that way. Afterwards only pairs between different components are left. When rounds
-bring no more, all of those are compared, whatever their number. No list and no class has a cap.
+So rows grow with the classes and the lists they are in, not with the pairs of a group, and no list and no class has a cap.
 
-Exactness: the estimate only drops pairs five standard deviations below the threshold, the prefix needs TAU of K retained values in common
-(a pair at the threshold has 48 on average, with a deviation of 3.5), and sets are compared as sets of 64-bit hashes.
+Exactness: a pair at the threshold has 48 of K = 64 retained values in common on average, with a deviation of 3.5; TAU and the estimate leave more than
+five deviations. Sets are compared as sets of 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from invoicemill.llm.components import components
-from invoicemill.llm.texts import lower_ascii, mix, text_bytes, word_hashes
+from invoicemill.llm.texts import groups, lower_ascii, mix, runs_of_rows, text_bytes, word_hashes
 from invoicemill.session import written
 
 SHINGLE_WORDS = 5
@@ -34,8 +37,9 @@ SIMILARITY_PERCENT = 75
 K = 64                      # retained values of a sketch
 TAU = 28                    # retained values that two sets at the threshold have in common, at least
 ESTIMATE_SLACK = 5          # standard deviations
-ROUNDS = 4                  # rounds against leaders, at most; the rest is compared pair by pair
-PAIRS_PER_ROW = 2           # left pairs for each list entry at which rounds stop
+BLOCK = 256                 # classes of a block; a group of two blocks is compared by one task at a time
+COLUMNS = 4096              # members of sets in one product
+SPARSE_PAIRS = 4            # pairs for each class up to which a group's pairs are rows; a denser group gets whole sets
 BROADCAST_IDS = 1_000_000   # ids (16 MB); more are joined by a shuffle
 
 _FACTORS = mix(np.arange(1, 64, dtype=np.uint64)) | np.uint64(1)
@@ -98,25 +102,130 @@ def _sketch_filter(k: int, percent: int):
     return run
 
 
-def _verify(words: int, percent: int):
+def _sets(words: int):
     def run(batches):
-        last, last_set = None, None
         for batch in batches:
-            (data_a, where_a), (data_b, where_b) = text_bytes(batch.column("text_a")), text_bytes(batch.column("text_b"))
-            leaders, keep = batch.column("b").to_pylist(), []
-            for i, leader in enumerate(leaders):
-                if leader != last:
-                    last, last_set = leader, shingles(data_b[where_b[i]:where_b[i + 1]], words)
-                keep.append(similar(shingles(data_a[where_a[i]:where_a[i + 1]], words), last_set, percent))
+            data, where = text_bytes(batch.column(1))
+            for first, last in runs_of_rows(where):
+                found = [shingles(data[where[i]:where[i + 1]], words).view(np.int64) for i in range(first, last)]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(np.concatenate(found)))], ["doc_id", "members"])
+    return run
+
+
+def _verify(percent: int):
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("set_a"), batch.column("set_b")
+            keep = [similar(a[i].values.to_numpy(), b[i].values.to_numpy(), percent) for i in range(len(batch))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def _members(table: pa.Table) -> list[np.ndarray]:
+    column = table.column("members").combine_chunks()
+    return [column[i].values.to_numpy().view(np.uint64) for i in range(len(column))]
+
+
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many members each set of ``a`` has in common with each of ``b``: products of incidence matrices, some members at a time."""
+    total = np.zeros((len(a), len(b)), np.float32)
+    if not a or not b:
+        return total
+    rows = lambda sets: np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    all_a, all_b, rows_a, rows_b = np.concatenate(a), np.concatenate(b), rows(a), rows(b)
+    shared = np.intersect1d(all_a, all_b)
+    keep_a, keep_b = np.isin(all_a, shared), np.isin(all_b, shared)
+    at_a, at_b, rows_a, rows_b = np.searchsorted(shared, all_a[keep_a]), np.searchsorted(shared, all_b[keep_b]), rows_a[keep_a], rows_b[keep_b]
+    for first in range(0, len(shared), COLUMNS):
+        x, y = np.zeros((len(a), COLUMNS), np.float32), np.zeros((len(b), COLUMNS), np.float32)
+        in_a, in_b = (at_a >= first) & (at_a < first + COLUMNS), (at_b >= first) & (at_b < first + COLUMNS)
+        x[rows_a[in_a], at_a[in_a] - first] = 1
+        y[rows_b[in_b], at_b[in_b] - first] = 1
+        total += x @ y.T
+    return total
+
+
+def _cross_pairs(table: pa.Table, test) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids between the two sides of a group, or within it if it has one side, that are in different components,
+    of which neither is the leader (its pairs are known) and whose overlap passes ``test(overlap, sizes_a, sizes_b)``."""
+    side, ids = table.column("side").to_numpy(), table.column("doc_id").to_numpy()
+    component, size = table.column("component").to_numpy(), table.column("n_shingles").to_numpy()
+    sets, leader = _members(table), table.column("leader")[0].as_py()
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    within = not len(b) and table.column("lower")[0].as_py() == table.column("upper")[0].as_py() and table.column("step")[0].as_py() == 0
+    if within:
+        b = a
+    if not len(a) or not len(b):
+        return ids[:0], ids[:0]
+    open_pairs = component[a][:, None] != component[b][None, :]
+    open_pairs &= (ids[a] != leader)[:, None] & (ids[b] != leader)[None, :]
+    if within:
+        open_pairs &= ids[a][:, None] < ids[b][None, :]
+    if not open_pairs.any():
+        return ids[:0], ids[:0]
+    passed = open_pairs & test(_overlaps([sets[i] for i in a], [sets[i] for i in b]), size[a][:, None], size[b][None, :])
+    at_a, at_b = np.nonzero(passed)
+    return ids[a][at_a], ids[b][at_b]
+
+
+GROUP = ["leader", "class", "step", "lower", "upper"]
+GROUP_SCHEMA = "leader bigint, class int, step int, lower bigint, upper bigint"
+
+
+def _sketch_overlaps(k: int, tau: int, percent: int):
+    """For each group the pairs with enough retained values in common, or if they are many the group's name only (dense)."""
+    def enough(overlap, size_a, size_b):
+        least = lambda n: np.where(n <= k * percent // 100, -(-n * percent // 100), tau)
+        return (overlap >= np.minimum(least(size_a), least(size_b))) & (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b))
+
+    def run(batches):
+        names = [*GROUP, "a", "b", "dense"]
+        for table in groups(batches, GROUP):
+            a, b = _cross_pairs(table, enough)
+            if not len(a):
+                continue
+            dense = len(a) > SPARSE_PAIRS * len(table)
+            if dense:
+                a, b = a[:0].tolist() + [None], b[:0].tolist() + [None]
+            key = [pa.array([table.column(c)[0].as_py()] * len(a), table.schema.field(c).type) for c in GROUP]
+            yield pa.RecordBatch.from_arrays([*key, pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([dense] * len(a), pa.bool_())], names)
+    return run
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """A spanning forest of the links: as much as components need."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    kept: tuple[list[int], list[int]] = ([], [])
+    for x, y in zip(a.tolist(), b.tolist()):
+        p, q = root(x), root(y)
+        if p != q:
+            parent[p] = q
+            kept[0].append(x), kept[1].append(y)
+    return kept
+
+
+def _whole_sets(percent: int):
+    """For each dense group all its links by whole sets, as a spanning forest."""
+    def run(batches):
+        for table in groups(batches, GROUP):
+            a, b = _forest(*_cross_pairs(table, lambda o, x, y: 100 * o.astype(np.int64) >= percent * (x + y - o.astype(np.int64))))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
 class _Lists:
-    """Sketches, inverted lists and texts of the classes that share a retained value with another one."""
+    """Inverted lists, and the sketches and sets of the classes that share a retained value with another one."""
 
     def __init__(self, docs: DataFrame, sketches: DataFrame, words: int, k: int, tau: int, percent: int):
-        self.words, self.k, self.percent = words, k, percent
+        self.k, self.tau, self.percent = k, tau, percent
         held = sketches.select("doc_id", "n_shingles", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
         shared = held.withColumn("lists", F.count("*").over(Window.partitionBy("value"))).where("lists > 1")
         small = k * percent // 100
@@ -125,73 +234,75 @@ class _Lists:
         prefix = shared.groupBy("doc_id", "n_shingles", "kept").agg(
             F.sort_array(F.collect_list(F.struct("lists", "value"))).alias("values"))
         take = F.greatest(F.lit(0), F.col("kept") - least + 1 - (F.col("kept") - F.size("values"))).cast("int")
-        self.entries = written(prefix.select("doc_id", F.explode(F.slice("values", 1, take)).alias("v"))
-                               .select("doc_id", F.col("v.value").alias("value")), "lists")
-        met = self.entries.groupBy("value").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most")
-        active = written(self.entries.join(met.select("value"), "value", "left_semi").select("doc_id").distinct(), "active")
+        entries = written(prefix.select("doc_id", F.explode(F.slice("values", 1, take)).alias("v"))
+                          .select("doc_id", F.col("v.value").alias("value")), "lists")
+        leader = entries.groupBy("value").agg(
+            F.min(F.struct(F.xxhash64("doc_id").alias("rank"), "doc_id")).alias("leader"), F.count("*").alias("n")).where("n > 1")
+        self.met = written(entries.join(leader, "value").select(F.col("leader.doc_id").alias("leader"), "doc_id").distinct(), "met")
+        active = written(self.met.where("leader <> doc_id").select(F.explode(F.array("leader", "doc_id")).alias("doc_id")).distinct(), "active")
         self.n_active = active.count()
-        near = lambda: F.broadcast(active) if self.n_active <= BROADCAST_IDS else active
-        self.sketches = written(sketches.join(near(), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch"), "active-sketches")
-        texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(near(), "doc_id", "left_semi")
-        self.texts = written(texts, "active-texts")
+        near = F.broadcast(active) if self.n_active <= BROADCAST_IDS else active
+        self.sketches = written(sketches.join(near, "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch"), "active-sketches")
+        texts = docs.select("doc_id", "text").join(near, "doc_id", "left_semi")
+        self.sets = written(texts.mapInArrow(_sets(words), "doc_id bigint, members array<bigint>"), "active-sets")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar: first by the estimate, then by whole sets."""
         side = lambda x: self.sketches.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_sketch_filter(self.k, self.percent), "a bigint, b bigint")
         near = written(near, "near")
-        text = lambda x: self.texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
-        both = near.join(text("a"), "a").join(text("b"), "b")
-        return written(both.mapInArrow(_verify(self.words, self.percent), "a bigint, b bigint"), "verified")
-
-
-def _with_component(entries: DataFrame, found: DataFrame) -> DataFrame:
-    return entries.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        members = lambda x: self.sets.select(F.col("doc_id").alias(x), F.col("members").alias(f"set_{x}"))
+        both = near.join(members("a"), "a").join(members("b"), "b")
+        return written(both.mapInArrow(_verify(self.percent), "a bigint, b bigint"), "verified")
+
+    def open_groups(self, found: DataFrame) -> DataFrame:
+        """One row per class and group to compare: the classes that met a leader and are not in one component yet.
+
+        The classes around a leader are dealt by size (similar ones are in the same or the next size class) and by hash into blocks of some
+        BLOCK classes; a group is two blocks. So a leader with very many classes becomes many groups of bounded size.
+        """
+        placed = self.met.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id"))
+        still = placed.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2")
+        placed = placed.join(still.select("leader"), "leader", "left_semi").join(self.sketches.select("doc_id", "n_shingles"), "doc_id")
+        base = math.log(101 / self.percent)
+        placed = written(placed.withColumn("class", F.floor(F.log("n_shingles") / base).cast("int")), "placed")
+        blocks = placed.groupBy("leader", "class").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).groupBy("leader").agg(
+            F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("of_class"))
+        dealt = placed.join(blocks, "leader").withColumn("own", F.expr("pmod(xxhash64(doc_id, 7), of_class[class])"))
+        group = lambda c, step, low, high, side: f"named_struct('class', {c}, 'step', {step}, 'lower', {low}, 'upper', {high}, 'side', {side})"
+        every = lambda c, of: f"transform(sequence(0L, coalesce(of_class[{c}], 0L)), j -> if(j < coalesce(of_class[{c}], 0L), {of}, null))"
+        same = every("class", group("class", 0, "least(own, j)", "greatest(own, j)", "if(own <= j, 0, 1)"))
+        above = every("class + 1", group("class", 1, "own", "j", 0))
+        below = every("class - 1", group("class - 1", 1, "j", "own", 1))
+        return dealt.select("leader", "doc_id", "component", "n_shingles", F.explode(F.expr(f"filter(concat({same}, {above}, {below}), x -> x is not null)")).alias("g")
+                            ).select("leader", "g.*", "doc_id", "component", "n_shingles")
+
+    def cross_links(self, found: DataFrame) -> DataFrame:
+        """Links between components, all that components need."""
+        rows = written(self.open_groups(found), "groups")
+        met = rows.join(self.sketches.select("doc_id", F.col("sketch").alias("members")), "doc_id")
+        near = written(_by_group(met).mapInArrow(_sketch_overlaps(self.k, self.tau, self.percent), f"{GROUP_SCHEMA}, a bigint, b bigint, dense boolean"), "overlaps")
+        links = self.verified(near.where("not dense").select("a", "b").distinct())
+        dense = rows.join(near.where("dense").select(*GROUP), GROUP, "left_semi").join(self.sets, "doc_id")
+        return links.union(written(_by_group(dense).mapInArrow(_whole_sets(self.percent), "a bigint, b bigint"), "dense-links"))
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
 
 def near_duplicate_links(docs: DataFrame, sketches: DataFrame, *, words: int = SHINGLE_WORDS, k: int = K, tau: int = TAU,
-                         percent: int = SIMILARITY_PERCENT, rounds: int = ROUNDS, pairs_per_row: float = PAIRS_PER_ROW) -> DataFrame:
+                         percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """(node, component) over the classes of ``sketches`` (doc_id, n_shingles, sketch); single classes are not listed."""
-    spark = docs.sparkSession
     lists = _Lists(docs, sketches, words, k, tau, percent)
-    none = spark.createDataFrame([], "u bigint, v bigint")
-    found = spark.createDataFrame([], "node bigint, component bigint")
-    if not lists.n_active:
-        return found
-    links, entries, last, turn = none, lists.entries, None, 0
-    while True:
-        placed = written(_with_component(entries, found), "placed")
-        per_list = placed.groupBy("value", "component").agg(F.count("*").alias("n")).groupBy("value").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("n * n > squares")
-        per_list = written(per_list, "open-lists")
-        rows, left = per_list.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.lit(0.0))).first()
-        if not rows:
-            return found
-        entries = placed.join(per_list.select("value"), "value", "left_semi")
-        if left <= pairs_per_row * rows or turn >= rounds or (last is not None and left > 0.9 * last):
-            break
-        last = left
-        rank = F.xxhash64("doc_id", F.lit(turn))
-        leader = entries.groupBy("value").agg(F.min_by(F.struct("doc_id", "component"), rank).alias("leader"))
-        shared = entries.join(leader, "value").where("component <> leader.component").groupBy(
-            F.col("doc_id").alias("a"), F.col("leader.doc_id").alias("b")).agg(F.count("*").alias("n"))
-        pairs = shared.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-        links = written(links.union(lists.verified(pairs)), "links-so-far")
-        found = written(components(links.toDF("u", "v")), "components")
-        entries = entries.drop("component")
-        turn += 1
-    # All pairs that share a list and are in different components, built from the distinct components of a list.
-    entries = written(entries, "open-entries")
-    of_list = entries.select("value", "component").distinct()
-    pairs = (of_list.join(of_list.withColumnRenamed("component", "other"), "value").where("component < other")
-             .join(entries.withColumnRenamed("doc_id", "a"), ["value", "component"])
-             .join(entries.select("value", F.col("component").alias("other"), F.col("doc_id").alias("b")), ["value", "other"])
-             .select("a", "b").distinct())
-    return components(links.union(lists.verified(pairs)).toDF("u", "v"))
+    links = lists.verified(lists.met.where("leader <> doc_id").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+    found = written(components(links.toDF("u", "v")), "components")
+    return components(links.union(lists.cross_links(found)).toDF("u", "v"))
 
 
 def minhash_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, k: int = K,
-                  tau: int = TAU, percent: int = SIMILARITY_PERCENT, rounds: int = ROUNDS, pairs_per_row: float = PAIRS_PER_ROW) -> DataFrame:
+                  tau: int = TAU, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """One row per distinct id: id, n_shingles, component_id, kept.
 
     Words are runs without space and 0x09-0x0D after A-Z is lower-cased. Documents are linked if their sets of shingles are similar by at
@@ -200,7 +311,6 @@ def minhash_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     Of rows that repeat an id the text that sorts first is taken. Other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    spark = docs.sparkSession
     schema = "doc_id bigint, n_shingles bigint, set_high bigint, set_low bigint, sketch array<bigint>"
     every = written(rows.mapInArrow(_sketches(words, k), schema), "sketches")
     known = every.where("doc_id is not null")
@@ -212,7 +322,7 @@ def minhash_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     classes = known.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id"))
     classes = written(classes, "classes")
     firsts = known.join(classes.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch")
-    found = near_duplicate_links(rows, firsts, words=words, k=k, tau=tau, percent=percent, rounds=rounds, pairs_per_row=pairs_per_row)
+    found = near_duplicate_links(rows, firsts, words=words, k=k, tau=tau, percent=percent)
     placed = classes.join(found, F.col("first_id") == F.col("node"), "left").select(
         *key, F.coalesce("component", "first_id").alias("component_id"))
     result = every.select("doc_id", *key).join(placed, key, "left")

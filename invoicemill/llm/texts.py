@@ -109,3 +109,24 @@ def runs_of_rows(where: np.ndarray, size: int = PART_BYTES) -> Iterator[tuple[in
         last = max(first + 1, int(np.searchsorted(where, where[first] + size, "right")) - 1)
         yield first, min(last, rows)
         first = last
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal integer keys, from batches that are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1 if len(batch) > 1 else np.zeros(0, int)
+        if held and any(held[-1].column(k)[len(held[-1]) - 1].as_py() != c[0] for k, c in zip(keys, columns)):
+            yield pa.Table.from_batches(held)
+            held = []
+        edges = [0, *cuts.tolist(), len(batch)]
+        for first, last in zip(edges[:-1], edges[1:]):
+            held.append(batch.slice(first, last - first))
+            if last < len(batch):
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
