@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from invoicemill.llm import chat_format as chat, language_id, license_scan as licenses, piece_fst, token_rollup as rollup
+from invoicemill.llm.embedding_dedup import embedding_dedup
 from invoicemill.llm.exact_dedup import exact_dedup
+from invoicemill.llm.line_dedup import line_dedup
 from invoicemill.llm.minhash_dedup import minhash_dedup
+from invoicemill.llm.packing import pack
+from invoicemill.session import new_folder
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def PACKING_VOCABULARY() -> str:
+    return _vocabulary("word_bpe_49k.json")
+
+
+def PIECE_MODEL() -> str:
+    return _vocabulary("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,11 +34,67 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
+    same = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", same), (-1, 1, "assistant", same)], "conv_id bigint, turn bigint, role string, text string")
+    return chat.conversation_digests(chat.chat_format(turns.unionByName(extra)))
+
+
+def op3_token_counts(spark, sf_dir):
+    """All documents are inserted; then those labelled toxic are deleted and those of low quality revised to the count of
+    their text without repeated lines; the second batch is committed twice."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    version = F.lit("word_bpe_49k")
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    inserted = rollup.count_tokens(docs, PACKING_VOCABULARY()).select(F.lit(rollup.INSERT).alias("op"), "doc_id", "source", "lang", version.alias("tokenizer_version"), "tokens")
+    totals = rollup.Rollup(spark, new_folder(spark, "token-rollup")).commit("load", inserted)
+    touched = docs.join(labels.where("toxic = 1 or quality = 0"), "doc_id")
+    unique_lines = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    revised = rollup.count_tokens(touched.withColumn("text", F.when(F.col("toxic") == 1, "").otherwise(unique_lines)), PACKING_VOCABULARY())
+    changes = revised.select(F.when(F.col("toxic") == 1, rollup.DELETE).otherwise(rollup.REVISE).alias("op"), "doc_id", "source", "lang", version.alias("tokenizer_version"), "tokens")
+    return totals.commit("labels", changes).commit("labels", changes).totals()
+
+
+def op4_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    judged = language_id.predict(docs.select("doc_id", "text"), language_id.train(docs))
+    return judged.select("doc_id", (~F.coalesce(language_id.may_train(F.col("doc_id")), F.lit(True))).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_embedding_dedup(spark, sf_dir):
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_packing(spark, sf_dir):
+    return pack(_table(spark, sf_dir, "documents"), PACKING_VOCABULARY())
+
+
+def op7_license_scan(spark, sf_dir):
+    found = licenses.license_scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op8_minhash_dedup(spark, sf_dir):
     return minhash_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op8_minhash_dedup)}
+def op9_piece_encode(spark, sf_dir):
+    """Ids of every text and the text read back from them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = piece_fst.decode(piece_fst.encode(docs, PIECE_MODEL()), PIECE_MODEL())
+    text = F.coalesce("text", F.lit(""))
+    return back.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+                       (F.col("decoded") == text).alias("round_trip"))
+
+
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_token_counts, op4_language_id, op5_embedding_dedup, op6_packing, op7_license_scan,
+                                   op8_minhash_dedup, op9_piece_encode, op10_line_dedup)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -44,4 +118,32 @@ links AS (
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)""",
+    "op10_line_dedup": r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line FROM split),
+solid AS (SELECT * FROM lines WHERE trim(translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    ')) <> ''),
+firsts AS (SELECT line, min(struct_pack(d := doc_id, l := line_no)) AS first, len(line) AS n FROM solid GROUP BY line),
+halves AS (
+  SELECT line, first, m, 'p' AS side, substring(line, 1, m // 2) AS half FROM firsts, (SELECT unnest([0, 1]) AS k), LATERAL (SELECT n - k AS m) WHERE n >= 16
+  UNION ALL
+  SELECT line, first, m, 's', substring(line, n - (m - m // 2) + 1) FROM firsts, (SELECT unnest([0, 1]) AS k), LATERAL (SELECT n - k AS m) WHERE n >= 16),
+pairs AS (
+  SELECT DISTINCT a.line, b.line AS other, b.first FROM halves a JOIN halves b USING (m, side, half) WHERE b.first < a.first),
+near AS (SELECT line, min(first) AS witness FROM pairs WHERE abs(len(line) - len(other)) <= 1 AND levenshtein(line, other) <= 1 GROUP BY line)
+SELECT doc_id, line_no, witness IS NULL AND first.d = doc_id AND first.l = line_no AS kept, coalesce(witness, first).d AS keep_doc_id,
+       coalesce(witness, first).l AS keep_line_no, CAST(witness IS NOT NULL AS BIGINT) AS edits
+FROM solid JOIN firsts USING (line) LEFT JOIN near USING (line)""",
+    "op2_chat_format": """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, regexp_replace(text, '(\\\\)', '\\1\\1', 'g') AS doubled FROM turns),
+escaped AS (
+  SELECT *, regexp_replace(doubled, '(<)(s>|/s>|<SYS>>|</SYS>>|\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>)|(\\[)(INST\\]|/INST\\])', '\\1\\3' || chr(92) || chr(92) || '\\2\\4', 'g') AS safe FROM sized)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + length(safe) + 8) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id""",
 }
