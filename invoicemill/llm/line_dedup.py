@@ -39,12 +39,16 @@ def _bounded(rows: DataFrame, most: int) -> DataFrame:
 
 def _segments() -> Column:
     """For the line as the shorter or an equal one (m = n) and as the longer one (m = n - 1): each segment's place, and the hash of the rest."""
+    def one(m: str, t: str, k: str) -> str:
+        before, after = f"cast(floor(({m}) * {t} / {k}) as int)", f"(({m}) - cast(floor(({m}) * ({t} + 1) / {k}) as int))"
+        return (f"named_struct('m', {m}, 'before', {before}, 'after', {after}, "
+                f"'rest', xxhash64({m}, {t}, substring(line, 1, {before}), substring(line, n - {after} + 1)))")
+
+    # Almost all lines have the least number of segments; those are written out, which compiles to straight code.
+    short = ", ".join(one(m, str(t), str(SEGMENTS)) for m in ("n", "n - 1") for t in range(SEGMENTS))
     count = f"greatest({SEGMENTS}, cast(ceil(m / {SEGMENT_CHARS}) as int))"
-    before = "cast(floor(m * t / k) as int)"
-    after = "(m - cast(floor(m * (t + 1) / k) as int))"
-    one = (f"named_struct('m', m, 'before', {before}, 'after', {after}, "
-           f"'rest', xxhash64(m, t, substring(line, 1, {before}), substring(line, n - {after} + 1)))")
-    return F.expr(f"flatten(transform(array(n, n - 1), m -> flatten(transform(array({count}), k -> transform(sequence(0, k - 1), t -> {one})))))")
+    long = f"flatten(transform(array(n, n - 1), m -> flatten(transform(array({count}), k -> transform(sequence(0, k - 1), t -> {one('m', 't', 'k')})))))"
+    return F.expr(f"if(n <= {SEGMENTS * SEGMENT_CHARS}, array({short}), {long})")
 
 
 def _variants() -> Column:

@@ -86,17 +86,16 @@ class PieceTransducer(RunIds):
     def _neighbours(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """True where merging leaves the pieces ``left`` and ``right`` apart; left -1 is the begin, -2 a byte arc."""
         code = np.where(left >= 0, left, self.size) * (self.size + 1) + right
-        distinct, back = np.unique(code, return_inverse=True)
-        new = distinct[~held(self.pairs, distinct)]
-        if len(new):
-            fit = []
+        known = held(self.pairs, code)
+        if not known.all():
+            fit, new = [], np.unique(code[~known])
             for c in new.tolist():
                 a, b = divmod(c, self.size + 1)
                 parts = [self.piece_of[b]] if a == self.size else [self.piece_of[a], self.piece_of[b]]
                 fit.append(self.merged("".join(parts)) == parts)
             place = np.searchsorted(self.pairs, new)
             self.pairs, self.joined = np.insert(self.pairs, place, new), np.insert(self.joined, place, fit)
-        return self.joined[np.searchsorted(self.pairs, distinct)][back]
+        return self.joined[np.searchsorted(self.pairs, code)]
 
     def _shortest(self, codes: np.ndarray) -> np.ndarray:
         """Shortest paths of all rows (words of one length): at each place the id of the piece that begins there, -1 if
@@ -142,7 +141,7 @@ class PieceTransducer(RunIds):
     def ids_of(self, runs):
         words = [r.decode().replace(" ", MARK) for r in runs]
         lengths = np.array([len(w) for w in words])
-        found: list[np.ndarray | None] = [None] * len(words)
+        n_ids, order, found = np.zeros(len(words), np.int64), [], []
         for n in np.unique(lengths).tolist():
             every = np.flatnonzero(lengths == n)
             step = max(1, (1 << 18) // (n * min(n, self.longest)))
@@ -150,13 +149,18 @@ class PieceTransducer(RunIds):
                 some = every[first:first + step]
                 codes = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32).reshape(len(some), n)
                 path = self._shortest(codes)
-                for i, row in zip(some.tolist(), path):
-                    ids = row[row != -1]
-                    if (ids < 0).any():
-                        ids = np.concatenate([np.array([x]) if x >= 0 else self.byte_id[list(chr(-2 - x).encode())] for x in ids.tolist()])
-                    found[i] = ids
-        n = np.array([len(x) for x in found])
-        return np.concatenate(found).astype(np.int32), n
+                begins = path != -1
+                ids, count = path[begins], begins.sum(1)
+                if (ids < 0).any():                 # characters that become bytes
+                    parts = [np.array([x]) if x >= 0 else self.byte_id[list(chr(-2 - x).encode())] for x in ids.tolist()]
+                    rows = np.repeat(np.arange(len(some)), count)
+                    ids, count = np.concatenate(parts), np.bincount(rows, [len(x) for x in parts], len(some)).astype(np.int64)
+                n_ids[some] = count
+                order.append(some), found.append(ids)
+        laid, order = np.concatenate(found).astype(np.int32), np.concatenate(order)
+        begin = np.empty(len(words), np.int64)
+        begin[order] = np.cumsum(n_ids[order]) - n_ids[order]
+        return laid[ragged(begin, n_ids)], n_ids
 
     def bounds(self, data, starts):
         blank = data == 32
