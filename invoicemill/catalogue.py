@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from invoicemill.functions import numbers
 from invoicemill.operators import digest, edits, extract as ex, hot_keys, identity, quality, upsert, validate as va
-from invoicemill.operators.render import LINES_PER_SHEET
 from invoicemill.plans import layers, reports, star
 from invoicemill.session import new_folder, written
 from invoicemill.sources import files, order_tables as ot, tables
@@ -227,7 +226,7 @@ def vendor_upsert(spark, sf_dir):
 # ---- extraction from rendered texts ----
 
 def rendered_texts(spark, sf_dir):
-    return ot.corpus(spark, sf_dir)[2].select("document_id", "sheet", F.length("raw_text").cast("bigint").alias("text_length"),
+    return ot.corpus(spark, sf_dir)[2].select("document_id", F.length("raw_text").cast("bigint").alias("text_length"),
                                               F.md5("raw_text").alias("text_md5"))
 
 
@@ -245,36 +244,36 @@ def default_amounts(spark, sf_dir):
 
 def roundtrip_header(spark, sf_dir):
     return _extracted(spark, sf_dir).select(
-        "document_id", "sheet", "invoice_number", "invoice_date", "due_date", "po_number", "subtotal", "tax_rate",
+        "document_id", "invoice_number", "invoice_date", "due_date", "po_number", "subtotal", "tax_rate",
         "tax_amount", "total_amount", "currency")
 
 
 def roundtrip_parties(spark, sf_dir):
     return _extracted(spark, sf_dir).select(
-        "document_id", "sheet", *star.VENDOR_COLUMNS, "bill_to_name", "bill_to_address", "bill_to_city",
+        "document_id", *star.VENDOR_COLUMNS, "bill_to_name", "bill_to_address", "bill_to_city",
         "bill_to_state", "bill_to_zip")
 
 
 def roundtrip_items(spark, sf_dir):
-    rows = _extracted(spark, sf_dir).select("document_id", "sheet", F.inline("line_items"))
-    return rows.select("document_id", (F.col("sheet") * LINES_PER_SHEET + F.col("line_number")).alias("line_number"),
+    rows = _extracted(spark, sf_dir).select("document_id", F.inline("line_items"))
+    return rows.select("document_id", F.col("line_number").cast("bigint").alias("line_number"),
                        "description", F.col("quantity").cast(numbers.QUANTITY).alias("quantity"), "unit_price", "amount")
 
 
 def confidence(spark, sf_dir):
-    return _records(spark, sf_dir).select("document_id", "sheet", "parse_confidence", "key_field_rate", "line_item_count")
+    return _records(spark, sf_dir).select("document_id", "parse_confidence", "key_field_rate", "line_item_count")
 
 
 def digest_brief(spark, sf_dir):
-    return _records(spark, sf_dir).select("document_id", "sheet", digest.brief())
+    return _records(spark, sf_dir).select("document_id", digest.brief())
 
 
 def digest_full(spark, sf_dir):
-    return _records(spark, sf_dir).select("document_id", "sheet", digest.full())
+    return _records(spark, sf_dir).select("document_id", digest.full())
 
 
 def insights(spark, sf_dir):
-    return digest.insights(_records(spark, sf_dir), ["document_id", "sheet"])
+    return digest.insights(_records(spark, sf_dir), ["document_id"])
 
 
 def run_counts(spark, sf_dir):
@@ -337,8 +336,7 @@ def _streamed(spark, sf_dir) -> layers.Layers:
     """The rendered texts taken as a stream of Parquet files, in several batches."""
     def run():
         source, root = new_folder(spark, "stream-in"), new_folder(spark, "stream-out")
-        document = F.when(F.col("sheet") == 0, F.col("document_id")).otherwise(F.concat_ws("/", "document_id", "sheet"))
-        texts = ot.corpus(spark, sf_dir)[2].select(document.alias("document_id"), F.col("raw_text").alias("text"))
+        texts = ot.corpus(spark, sf_dir)[2].select("document_id", F.col("raw_text").alias("text"))
         texts.repartition(4, "document_id").write.parquet(source)
         stream = incremental.stream_table(spark, source, "document_id STRING, text STRING", files_per_batch=2)
         incremental.load_stream(stream, root, root + "/_checkpoint", as_of=ot.AS_OF, loaded_at=LOADED_AT).awaitTermination()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from invoicemill.functions import fixed_values as fv
 from invoicemill.functions.dates import labelled_date
-from invoicemill.functions.numbers import MONEY, PARSED_QUANTITY, TAX_RATE, parse_number, sum_of
+from invoicemill.functions.numbers import MONEY, PARSED_QUANTITY, QUANTITY, TAX_RATE, parse_number, sum_of
 from invoicemill.functions.text import (
     filled_lines, find, find_first, present, rx, strip, truthy,
 )
@@ -203,7 +203,7 @@ def extract(documents: DataFrame, text: str = "raw_text") -> DataFrame:
         "tax_rate", F.when(F.col("_rate_value") <= 1, F.col("_rate_value").try_cast(TAX_RATE)))
 
     unfit = lambda raw, value, reason: F.when(F.col(raw).isNotNull() & F.col(value).isNull(), reason)
-    bad_item = F.exists("line_items", lambda i: i.quantity.isNull() | i.unit_price.isNull() | i.amount.isNull())
+    bad_item = F.exists("line_items", lambda i: i.quantity.try_cast(QUANTITY).isNull() | i.unit_price.isNull() | i.amount.isNull())
     scored = read.withColumns({
         "reject_reasons": F.array_compact(F.array(
             unfit("_subtotal", "subtotal", "subtotal_out_of_range"),

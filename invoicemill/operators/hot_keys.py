@@ -1,8 +1,7 @@
 """Joins and numbering that hold when one key carries a large share of all rows.
 
-The heaviest keys are few by arithmetic: at most ``HOT_KEYS`` of them are treated apart, and
-every key below them holds less than 1/HOT_KEYS of the rows. So what is broadcast is never
-more than ``HOT_KEYS`` rows, and what is left for the shuffle is even enough.
+Keys above ``HOT_ROWS`` rows are treated apart, all of them, whether they have a match or not. They are few by
+arithmetic: at most one for every HOT_ROWS rows of the table. That bounds what is broadcast.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from invoicemill.session import written
 
-HOT_KEYS = 1000          # most keys treated apart, and most rows ever broadcast for them
 HOT_ROWS = 1_000_000     # keys with fewer rows than this fit one task anyway
 COPIES_PER_ROW = 1_000_000
 
@@ -24,16 +22,15 @@ def row_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
-    """The heaviest keys above ``hot_rows`` (HOT_ROWS unless given), at most HOT_KEYS of them."""
-    return (counts.where(F.col("row_count") > (hot_rows or HOT_ROWS))
-            .orderBy(F.desc("row_count"), key).limit(HOT_KEYS).select(key))
+    """All keys above ``hot_rows`` (HOT_ROWS unless given)."""
+    return counts.where(F.col("row_count") > (hot_rows or HOT_ROWS)).select(key)
 
 
 def join_to_unique(facts: DataFrame, dimension: DataFrame, key: str, *, spread: list[str], how: str = "left",
                    counts: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Join rows to a side that has at most one row per key (``how``: left, inner or left_semi).
 
-    Rows of hot keys take their match from a broadcast of at most HOT_KEYS rows and are then
+    Rows of hot keys take their match, if there is one, from a broadcast of the hot keys and are then
     spread over all tasks by a hash of ``spread`` (columns that tell rows apart). The rest is an ordinary
     equi-join, for which Spark picks the strategy. ``counts`` (key, row_count) saves a
     counting pass where the counts are known already.
@@ -41,10 +38,12 @@ def join_to_unique(facts: DataFrame, dimension: DataFrame, key: str, *, spread:
     payload = [c for c in dimension.columns if c != key]
     side = dimension.select(F.col(key).alias("_key"), F.struct(key, *payload).alias("_match"))
     hot = hot_keys(row_counts(facts, key) if counts is None else counts, key, hot_rows)
-    hot_side = side.join(F.broadcast(hot), side["_key"] == hot[key], "left_semi").select(
-        F.col("_key").alias(key), F.col("_match").alias("_hot_match"))
+    hot = hot.select(F.col(key).alias("_hot_key"))
+    matches = side.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"), "left_semi")
+    hot_side = hot.join(matches, F.col("_hot_key") == F.col("_key"), "left").select(
+        F.col("_hot_key").alias(key), F.lit(True).alias("_is_hot"), F.col("_match").alias("_hot_match"))
 
-    apart = F.col("_hot_match").isNotNull() | F.col(key).isNull()
+    apart = F.col("_is_hot").isNotNull() | F.col(key).isNull()
     marked = facts.join(F.broadcast(hot_side), key, "left").withColumn(
         "_key", F.when(apart, F.concat(F.lit("h"), F.xxhash64(*spread).cast("string")))
         .otherwise(F.concat(F.lit("k"), F.col(key).cast("string"))))
@@ -93,16 +92,14 @@ def numbers_within(df: DataFrame, group: str, order_by: list[str], name: str, *,
                    hot_rows: int | None = None, copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
     """``row_number`` per group; rows equal in ``order_by`` must be copies of each other.
 
-    Groups too large for one task (at most HOT_KEYS keys reach the driver) are numbered by
-    position over ranges instead of a window.
+    Groups too large for one task are numbered by position over ranges instead of a window.
     """
-    hot = [row[0] for row in hot_keys(row_counts(df, group), group, hot_rows).collect()]
+    hot = written(hot_keys(row_counts(df, group), group, hot_rows), "hot-groups")
     number = F.row_number().over(Window.partitionBy(group).orderBy(*order_by)).cast("int")
-    if not hot:
+    if hot.isEmpty():
         return df.withColumn(name, number)
-    is_hot = F.coalesce(F.col(group).isin(hot), F.lit(False))
-    rest = df.where(~is_hot).withColumn(name, number)
-    apart = tell_copies_apart(df.where(is_hot), "_copy", copies_per_row)
+    rest = df.join(F.broadcast(hot), group, "left_anti").select(*df.columns).withColumn(name, number)
+    apart = tell_copies_apart(df.join(F.broadcast(hot), group, "left_semi").select(*df.columns), "_copy", copies_per_row)
     placed = dense_numbers(apart, [group, *order_by, "_copy"], "_position")
     starts = placed.groupBy(group).agg(F.min("_position").alias("_start"))
     large = placed.join(F.broadcast(starts), group).withColumn(

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from invoicemill.functions.numbers import general_text, money_text
 from invoicemill.operators.digest import left_align, right_align
-from invoicemill.operators.hot_keys import join_to_unique
 
 # Rules, widths and wording of the text layout.
 DOUBLE_RULE, THIN_RULE, THICK_RULE = "=" * 60, "─" * 60, "═" * 60
@@ -15,8 +14,6 @@ DESCRIPTION_WIDTH, QUANTITY_WIDTH, AMOUNT_WIDTH, LABEL_WIDTH = 35, 5, 12, 54
 TABLE_HEAD = "Description                           Qty   Unit Price       Amount"
 FOOT = "\nPayment Terms: Net 30\nThank you for your business!\n"
 
-LINES_PER_SHEET = 500    # longer invoices continue on further sheets, each a text of its own
-
 
 def item_line() -> Column:
     column = lambda text, width: F.concat(F.lit(" "), right_align(text, width))
@@ -47,19 +44,9 @@ def _invoice_text(items: Column) -> Column:
         amount(F.lit("TOTAL DUE:"), "total_amount"), F.lit(THICK_RULE), F.lit(FOOT))
 
 
-def render(headers: DataFrame, lines: DataFrame, lines_per_sheet: int = LINES_PER_SHEET) -> DataFrame:
-    """(document_id, sheet, raw_text) for every invoice.
-
-    A sheet holds at most ``lines_per_sheet`` lines, so no group grows with the invoice; every sheet shows the
-    header and the totals of the whole invoice, and sheet s starts at line s * lines_per_sheet + 1.
-    """
-    sheet = F.floor((F.col("line_number") - 1) / lines_per_sheet).cast("bigint")
-    texts = (lines.select("document_id", sheet.alias("sheet"), F.struct("line_number", item_line().alias("text")).alias("line"))
-             .groupBy("document_id", "sheet")
+def render(headers: DataFrame, lines: DataFrame) -> DataFrame:
+    """(document_id, raw_text): every invoice is one text, with all its lines in order."""
+    texts = (lines.select("document_id", F.struct("line_number", item_line().alias("text")).alias("line"))
+             .groupBy("document_id")
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list("line")), lambda x: x["text"]), "\n").alias("_items")))
-    sheets = F.ceil(F.col("line_item_count") / lines_per_sheet)
-    filled = join_to_unique(texts, headers, "document_id", spread=["document_id", "sheet"], how="inner",
-                            counts=headers.select("document_id", sheets.cast("bigint").alias("row_count")))
-    blank = headers.where(F.col("line_item_count") == 0).withColumns(
-        {"sheet": F.lit(0).cast("bigint"), "_items": F.lit(None).cast("string")})
-    return filled.unionByName(blank).select("document_id", "sheet", _invoice_text(F.col("_items")).alias("raw_text"))
+    return headers.join(texts, "document_id", "left").select("document_id", _invoice_text(F.col("_items")).alias("raw_text"))

@@ -1,6 +1,6 @@
 """The registered queries once more, as plain SQL over the given tables.
 
-Written independently of the Spark code: window forms instead of aggregates with ``max_by``, global ``row_number``
+Patterns and wording are the fixed values of the library; the rest is written independently of the Spark code: window forms instead of aggregates with ``max_by``, global ``row_number``
 instead of ranges, integer cents instead of decimal division.
 """
 
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 AS_OF = "DATE '2001-08-01'"
 SPLIT = "TIMESTAMP '2000-01-01 00:00:00'"
-SHEET = 500
 
 
 def half_up(numerator: str, denominator: str) -> str:
@@ -266,10 +265,6 @@ EDITS_CTE = """edits AS (
     CASE WHEN o_orderstatus = 'O' THEN CAST(CAST(CAST(o_orderdate AS DATE) + 45 AS DATE) AS VARCHAR) ELSE '' END AS due
   FROM orders)"""
 
-# One row per sheet of a rendered invoice.
-SHEETS_CTE = f"""sheets AS (
-  SELECT *, CAST(unnest(range(0, greatest(CAST(ceil(n_items / CAST({SHEET} AS DOUBLE)) AS BIGINT), 1))) AS BIGINT) AS sheet FROM headers)"""
-SHEET_LINES_CTE = f"sheet_lines AS (SELECT *, CAST((line_number - 1) // {SHEET} AS BIGINT) AS sheet FROM lines)"
 
 
 def render_sql() -> str:
@@ -288,34 +283,34 @@ def render_sql() -> str:
              "repeat('═', 60)", amount("'TOTAL DUE:'", "total_amount"), "repeat('═', 60)", "''", "'Payment Terms: Net 30'",
              "'Thank you for your business!'", "''"]
     items = f"""item_texts AS (
-  SELECT document_id, sheet, string_agg(({pad("description", 35)}) || ' ' || ({right(g, 5)}) || ' ' || ({right(money("unit_price"), 12)})
+  SELECT document_id, string_agg(({pad("description", 35)}) || ' ' || ({right(g, 5)}) || ' ' || ({right(money("unit_price"), 12)})
     || ' ' || ({right(money("line_amount"), 12)}), {nl} ORDER BY line_number) AS item_text
-  FROM sheet_lines GROUP BY document_id, sheet),
+  FROM lines GROUP BY document_id),
 texts AS (
-  SELECT document_id, sheet, concat_ws({nl}, {", ".join(parts)}) AS raw_text
-  FROM sheets LEFT JOIN item_texts USING (document_id, sheet))"""
-    return on("SELECT document_id, sheet, CAST(length(raw_text) AS BIGINT) AS text_length, md5(raw_text) AS text_md5 FROM texts",
-              SHEETS_CTE, LINES_CTE, SHEET_LINES_CTE, items, faults=False)
+  SELECT document_id, concat_ws({nl}, {", ".join(parts)}) AS raw_text
+  FROM headers LEFT JOIN item_texts USING (document_id))"""
+    return on("SELECT document_id, CAST(length(raw_text) AS BIGINT) AS text_length, md5(raw_text) AS text_md5 FROM texts",
+              LINES_CTE, items, faults=False)
 
 
 def insights_sql() -> str:
     desc = "list_extract(list(description ORDER BY line_amount DESC, line_number), 1)"
-    return on(f"""SELECT document_id, sheet, CAST(row_number() OVER (PARTITION BY document_id, sheet ORDER BY place) AS INTEGER) AS insight_number, kind, text
-FROM remarks WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id, sheet ORDER BY place) <= 3""",
-              LINES_CTE, SHEET_LINES_CTE, f"""item_facts AS (
-  SELECT document_id, sheet, count(*) AS n, max(line_amount) AS hi, min(line_amount) AS lo, {desc} AS top,
+    return on(f"""SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY place) AS INTEGER) AS insight_number, kind, text
+FROM remarks WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY place) <= 3""",
+              LINES_CTE, f"""item_facts AS (
+  SELECT document_id, count(*) AS n, max(line_amount) AS hi, min(line_amount) AS lo, {desc} AS top,
     CAST(sum(line_amount) AS DECIMAL(18,2)) AS amount,
     string_agg(format('{{:g}}', CAST(quantity AS DOUBLE)) || 'x ' || description, ', ' ORDER BY line_number) FILTER (quantity >= 50) AS bulk
-  FROM sheet_lines GROUP BY document_id, sheet),
+  FROM lines GROUP BY document_id),
 facts AS (SELECT f.*, h.total_amount, CAST(hi AS DOUBLE) / CAST(total_amount AS DOUBLE) * 100 AS pct
   FROM item_facts f JOIN headers h USING (document_id)),
 remarks AS (
-  SELECT document_id, sheet, 1 AS place, 'top_spend' AS kind, CASE WHEN pct > 50 THEN 'Top spend: ' || top || ' drives '
+  SELECT document_id, 1 AS place, 'top_spend' AS kind, CASE WHEN pct > 50 THEN 'Top spend: ' || top || ' drives '
     || CAST(CAST(round_even(pct, 0) AS BIGINT) AS VARCHAR) || '% of this invoice ($' || {money("hi")} || ' of $' || {money("total_amount")} || ').' END AS text FROM facts
-  UNION ALL SELECT document_id, sheet, 2, 'bulk_orders', 'Bulk orders: ' || bulk || '.' FROM facts
-  UNION ALL SELECT document_id, sheet, 3, 'range', CASE WHEN n > 1 AND hi <> lo THEN 'Line items range from $' || {money("lo")} || ' to $'
+  UNION ALL SELECT document_id, 2, 'bulk_orders', 'Bulk orders: ' || bulk || '.' FROM facts
+  UNION ALL SELECT document_id, 3, 'range', CASE WHEN n > 1 AND hi <> lo THEN 'Line items range from $' || {money("lo")} || ' to $'
     || {money("hi")} || ' (avg $' || {money(from_cents(half_up(cents("amount"), "n")))} || ').' END FROM facts
-  UNION ALL SELECT document_id, sheet, 4, 'largest_item', CASE WHEN pct <= 50 THEN 'Largest item: ' || top || ' at $' || {money("hi")} || '.' END FROM facts)""",
+  UNION ALL SELECT document_id, 4, 'largest_item', CASE WHEN pct <= 50 THEN 'Largest item: ' || top || ' at $' || {money("hi")} || '.' END FROM facts)""",
               faults=False)
 
 
@@ -342,18 +337,18 @@ def digest_sql() -> str:
     score = join("'EXTRACTION QUALITY'", dash, f"'Confidence: ' || {percent('confidence')} || ' (' || CASE WHEN confidence >= 0.9 THEN 'High' "
                  "WHEN confidence >= 0.7 THEN 'Medium' ELSE 'Low' END || ')'", f"'Key fields extracted: ' || {percent(COMPLETION)}")
     items = f"""item_parts AS (
-  SELECT document_id, sheet, {join("'LINE ITEMS (' || count(*) || ' items)'", dash,
-    f"string_agg('  ' || (line_number - sheet * {SHEET}) || '. ' || description || ' — Qty: ' || {g} || ' x $' || {money('unit_price')} || ' = $' || {money('line_amount')}, {nl} ORDER BY line_number)",
+  SELECT document_id, {join("'LINE ITEMS (' || count(*) || ' items)'", dash,
+    f"string_agg('  ' || line_number || '. ' || description || ' — Qty: ' || {g} || ' x $' || {money('unit_price')} || ' = $' || {money('line_amount')}, {nl} ORDER BY line_number)",
     f"{nl} || '  Highest value item: ' || list_extract(list(description ORDER BY line_amount DESC, line_number), 1) || ' ($' || {money('max(line_amount)')} || ')'")} AS item_part
-  FROM sheet_lines GROUP BY document_id, sheet),
+  FROM lines GROUP BY document_id),
 messages AS (
   SELECT document_id, string_agg('  - ' || message, {nl} ORDER BY rule_number) FILTER (severity = 'error') AS error_list,
     string_agg('  - ' || message, {nl} ORDER BY rule_number) FILTER (severity = 'warning') AS warning_list
   FROM rule_results WHERE NOT passed GROUP BY document_id),
-scored AS (SELECT *, {CONFIDENCE} AS confidence FROM sheets)"""
-    return on(f"""SELECT document_id, sheet, concat_ws({nl} || {nl}, {header}, {vendor}, {money_part}, item_part, {quality}, {score}) AS digest
-FROM scored JOIN statuses USING (document_id) LEFT JOIN item_parts USING (document_id, sheet) LEFT JOIN messages USING (document_id)""",
-              *JUDGED, SHEETS_CTE, LINES_CTE, SHEET_LINES_CTE, items, faults=False)
+scored AS (SELECT *, {CONFIDENCE} AS confidence FROM headers)"""
+    return on(f"""SELECT document_id, concat_ws({nl} || {nl}, {header}, {vendor}, {money_part}, item_part, {quality}, {score}) AS digest
+FROM scored JOIN statuses USING (document_id) LEFT JOIN item_parts USING (document_id) LEFT JOIN messages USING (document_id)""",
+              *JUDGED, LINES_CTE, items, faults=False)
 
 
 # Unicode white space and word characters for a regex engine whose own classes are ASCII.
@@ -536,21 +531,21 @@ UNION ALL SELECT h.document_id, 'Phone', vendor_phone, phone FROM headers h JOIN
 WHERE vendor_phone <> '' AND phone <> '' AND phone <> vendor_phone""", EDITS_CTE),
         "vendor_upsert": upsert_sql(),
         "rendered_texts": render_sql(),
-        "roundtrip_header": on("""SELECT document_id, sheet, invoice_number, invoice_date, due_date, po_number, subtotal, tax_rate, tax_amount,
-  total_amount, currency FROM sheets""", SHEETS_CTE, faults=False),
-        "roundtrip_parties": on("""SELECT document_id, sheet, vendor_name, vendor_address, vendor_city, vendor_state, vendor_zip, vendor_phone,
-  vendor_email, bill_to_name, bill_to_address, bill_to_city, bill_to_state, bill_to_zip FROM sheets""", SHEETS_CTE, faults=False),
+        "roundtrip_header": on("""SELECT document_id, invoice_number, invoice_date, due_date, po_number, subtotal, tax_rate, tax_amount,
+  total_amount, currency FROM headers""", faults=False),
+        "roundtrip_parties": on("""SELECT document_id, vendor_name, vendor_address, vendor_city, vendor_state, vendor_zip, vendor_phone,
+  vendor_email, bill_to_name, bill_to_address, bill_to_city, bill_to_state, bill_to_zip FROM headers""", faults=False),
         "roundtrip_items": on("""SELECT document_id, CAST(line_number AS BIGINT) AS line_number, description, quantity, unit_price,
   line_amount AS amount FROM lines""", LINES_CTE, faults=False),
-        "confidence": on(f"""SELECT document_id, sheet, {CONFIDENCE} AS parse_confidence, {COMPLETION} AS key_field_rate, n_items AS line_item_count
-FROM sheets""", SHEETS_CTE, faults=False),
-        "digest_brief": on(f"SELECT document_id, sheet, {brief} AS digest_brief FROM sheets", SHEETS_CTE, faults=False),
+        "confidence": on(f"""SELECT document_id, {CONFIDENCE} AS parse_confidence, {COMPLETION} AS key_field_rate, n_items AS line_item_count
+FROM headers""", faults=False),
+        "digest_brief": on(f"SELECT document_id, {brief} AS digest_brief FROM headers", faults=False),
         "digest_full": digest_sql(),
         "insights": insights_sql(),
         "default_amounts": """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(12,2))
   ELSE CAST(l_quantity * CAST(round(l_extendedprice * 100) AS BIGINT) / 100 AS DECIMAL(12,2)) END AS amount FROM lineitem""",
         "run_counts": on("""SELECT count(*) AS found, count(*) AS parsed, count(*) AS extracted, count(*) FILTER (validation_status <> 'failed') AS loaded
-FROM sheets JOIN statuses USING (document_id)""", *JUDGED, SHEETS_CTE, faults=False),
+FROM headers JOIN statuses USING (document_id)""", *JUDGED, faults=False),
         "doc_contacts": f"SELECT doc_id, {found('text', PHONE, 0, '')} AS phone, {found('text', EMAIL, 0, '')} AS email FROM documents",
         "doc_fields": doc_fields_sql(),
         "bronze_documents": """SELECT substr(sha256(CAST(doc_id AS VARCHAR) || chr(10) || text), 1, 32) AS document_id, 'unknown' AS file_name, 'txt' AS file_type,

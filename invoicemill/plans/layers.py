@@ -150,11 +150,13 @@ class Layers:
              dry_run: bool = False) -> dict[str, DataFrame]:
         """One load through all layers; returns what it wrote (with ``dry_run``: would write).
 
-        Documents that an earlier load has are left out, so vendors are counted once per document.
+        A document that comes several times counts once, and documents that an earlier load has are left out, so vendors are
+        counted once per document.
         ``edits`` correct extracted fields after the rules ran.
         """
         at = as_timestamp(loaded_at or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None, microsecond=0))
         put = (lambda df, *_: df) if dry_run else self._put
+        parse_results = one_per_document(parse_results)
         known = self._earlier("silver/parsed_invoices", batch_id)
         if known is not None:
             # The history is reduced to the ids of this load first; its side of the join may be far larger.
@@ -184,6 +186,14 @@ class Layers:
         return out
 
 
+def one_per_document(parse_results: DataFrame) -> DataFrame:
+    """One row per document_id; ids are hashes of content, so the rows of one id are copies. Where they differ, the smallest row stays."""
+    others = [c for c in parse_results.columns if c != "document_id"]
+    ordered = [f.name for f in parse_results.schema if f.name in others and f.dataType.typeName() != "map"]
+    kept = parse_results.groupBy("document_id").agg(F.min_by(F.struct(*others), F.struct(*ordered)).alias("_row"))
+    return kept.select("document_id", "_row.*").select(*parse_results.columns)
+
+
 def run_counts(parse_results: DataFrame, records: DataFrame) -> DataFrame:
     """Counts of a run: documents found, parsed, extracted, and loaded into the dimensional layer."""
     found = parse_results.agg(
@@ -192,4 +202,5 @@ def run_counts(parse_results: DataFrame, records: DataFrame) -> DataFrame:
          else F.count("*")).alias("parsed"))
     loaded = records.agg(F.count("*").alias("extracted"),
                          F.count_if(F.col("validation_status") != fv.FAILED).alias("loaded"))
-    return found.withColumn("_one", F.lit(1)).join(loaded.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    counts = ("found", "parsed", "extracted", "loaded")
+    return found.unionByName(loaded, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in counts])

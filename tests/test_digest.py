@@ -120,11 +120,6 @@ def test_render_gives_the_layout_back(spark):
                                   "document_id string, line_number int, description string, quantity decimal(10,2), "
                                   "unit_price decimal(12,2), line_amount decimal(12,2)")
     assert render(headers, lines).first().raw_text == PLAIN
-    sheets = render(headers, lines, lines_per_sheet=2).orderBy("sheet").collect()
-    assert [s.sheet for s in sheets] == [0, 1]
-    items = ex.extract(spark.createDataFrame(sheets)).select("sheet", F.inline("line_items")).collect()
-    assert [(i.sheet * 2 + i.line_number, i.description) for i in sorted(items)] == [
-        (n, i[0]) for n, i in enumerate(want["items"], 1)]
 
 
 @pytest.mark.parametrize("text, amount", [

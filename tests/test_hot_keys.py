@@ -59,3 +59,24 @@ def test_numbers_within(spark, hot_rows):
     got = hk.numbers_within(df, "g", ["v"], "n", hot_rows=hot_rows, copies_per_row=8)
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("v")))
     assert sorted(map(tuple, got.select("g", "v", "n").collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_hot_key_without_a_match_is_spread(spark, how):
+    rows = spark.range(2000).select("id", F.lit("nobody").alias("key"))
+    side = spark.createDataFrame([("a", 1)], "key string, n int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = hk.join_to_unique(rows, side, "key", spread=["id"], how=how, hot_rows=50)
+        tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert (len(tasks), sum(r["count"] for r in tasks)) == ((8, 2000) if how == "left" else (0, 0))
+    assert all(r["count"] < 400 for r in tasks)
+
+
+def test_every_hot_key_is_split(spark):
+    counts = spark.range(1500).select(F.col("id").alias("key"), F.lit(60).alias("row_count"))
+    assert hk.hot_keys(counts, "key", 50).count() == 1500

@@ -180,3 +180,24 @@ def test_currency(spark):
 def test_currency_file(spark, tmp_path):
     (tmp_path / "codes.csv").write_text("currency_code,currency_name,symbol\nCHF,Swiss Franc,Fr\n", encoding="utf-8")
     assert [tuple(r) for r in tables.currency_codes(spark, str(tmp_path / "codes.csv")).collect()] == [("CHF", "Swiss Franc", "Fr")]
+
+
+def test_copies_in_one_load_count_once(spark, folder, tmp_path):
+    docs = files.accepted(files.read_folder(spark, folder)).where("file_name = 'plain.txt'")
+    out = Layers(spark, str(tmp_path / "once")).load(docs.union(docs).union(docs), 1, as_of=AS_OF, loaded_at=AT)
+    single = Layers(spark, str(tmp_path / "single")).load(docs, 1, as_of=AS_OF, loaded_at=AT)
+    for name in ("silver/parsed_invoices", "silver/parsed_line_items", "gold/fact_invoice_line_items", "gold/fact_invoice_summary", "gold/dim_vendors"):
+        assert rows(out[name]) == rows(single[name])
+    assert out["gold/fact_invoice_line_items"].count() == 3 and out["gold/dim_vendors"].first().document_count == 1
+
+
+def test_large_quantity_is_rejected(spark, folder, tmp_path):
+    docs = files.accepted(files.read_folder(spark, folder)).where("file_name = 'plain.txt'")
+    item = [x for x in PLAIN.split("\n") if x.rstrip().endswith(("00", "25", "50", "44")) and "  " in x.strip()]
+    quantity = next(w for x in item for w in x.split() if w.isdigit())
+    line = next(x for x in item if quantity in x.split())
+    changed = docs.withColumn("text", F.replace("text", F.lit(line), F.lit(line.replace(f" {quantity} ", " 500000000 ", 1))))
+    out = Layers(spark, str(tmp_path / "big")).load(changed, 1, as_of=AS_OF, loaded_at=AT)
+    lost = out["silver/parsed_line_items"].where("quantity is null").count()
+    assert lost == 0 or [r.reason for r in out["rejects/extraction"].collect()] == ["line_item_out_of_range"]
+    assert lost == 1
