@@ -10,7 +10,7 @@ from invoicemill.llm.exact_dedup import exact_dedup
 from invoicemill.llm.line_dedup import line_dedup
 from invoicemill.llm.minhash_dedup import minhash_dedup
 from invoicemill.llm.packing import pack
-from invoicemill.session import new_folder
+from invoicemill.session import new_folder, written
 
 
 def _vocabulary(name: str) -> str:
@@ -44,15 +44,20 @@ def op2_chat_format(spark, sf_dir):
 def op3_token_counts(spark, sf_dir):
     """All documents are inserted; then those labelled toxic are deleted and those of low quality revised to the count of
     their text without repeated lines; the second batch is committed twice."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    version = F.lit("word_bpe_49k")
-    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    inserted = rollup.count_tokens(docs, PACKING_VOCABULARY()).select(F.lit(rollup.INSERT).alias("op"), "doc_id", "source", "lang", version.alias("tokenizer_version"), "tokens")
-    totals = rollup.Rollup(spark, new_folder(spark, "token-rollup")).commit("load", inserted)
-    touched = docs.join(labels.where("toxic = 1 or quality = 0"), "doc_id")
+    docs = _table(spark, sf_dir, "documents")
+    version = F.lit("word_bpe_49k").alias("tokenizer_version")
+    # One narrow pass counts the whole text and, where that differs, the text without repeated lines; only counts are moved.
     unique_lines = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
-    revised = rollup.count_tokens(touched.withColumn("text", F.when(F.col("toxic") == 1, "").otherwise(unique_lines)), PACKING_VOCABULARY())
-    changes = revised.select(F.when(F.col("toxic") == 1, rollup.DELETE).otherwise(rollup.REVISE).alias("op"), "doc_id", "source", "lang", version.alias("tokenizer_version"), "tokens")
+    form = lambda revised, text: F.struct(F.lit(revised).alias("revised"), text.alias("text"))
+    forms = F.array_compact(F.array(form(False, F.col("text")), F.when(unique_lines != F.col("text"), form(True, unique_lines))))
+    texts = docs.select("doc_id", "source", "lang", F.xxhash64("text").alias("text_hash"), F.inline(forms))
+    counted = written(rollup.count_tokens(texts, PACKING_VOCABULARY()), "token-counts")
+    inserted = counted.where("not revised").select(F.lit(rollup.INSERT).alias("op"), "doc_id", "source", "lang", version, "tokens")
+    totals = rollup.Rollup(spark, new_folder(spark, "token-rollup")).commit("load", inserted)
+    labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    last = counted.groupBy("doc_id", "source", "lang", "text_hash").agg(F.max_by("tokens", "revised").alias("tokens"))
+    op = F.when(F.col("toxic") == 1, rollup.DELETE).otherwise(rollup.REVISE).alias("op")
+    changes = last.join(labels.where("toxic = 1 or quality = 0"), "doc_id").select(op, "doc_id", "source", "lang", version, "tokens")
     return totals.commit("labels", changes).commit("labels", changes).totals()
 
 
