@@ -127,6 +127,31 @@ def test_counts_are_the_tokenizers(spark):
     assert {r["doc_id"]: r["tokens"] for r in rollup.count_tokens(docs, path).collect()} == want
 
 
+def test_token_counts_query(spark):
+    """The registered query against a recount document by document."""
+    from tokenizers import Tokenizer
+    sf = "/root/testdata/sf0.001"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    toxic, low = set(), set()
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        toxic |= {r["doc_id"]} if r["toxic"] == 1 else set()
+        low |= {r["doc_id"]} if r["quality"] == 0 else set()
+    want, shortened = defaultdict(lambda: [0, 0]), 0
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        text = r["text"] or ""
+        if r["doc_id"] in toxic:
+            continue
+        if r["doc_id"] in low:
+            unique = "\n".join(dict.fromkeys(text.split("\n")))
+            shortened += unique != text
+            text = unique
+        total = want[r["source"], r["lang"], "word_bpe_49k"]
+        total[0] += 1
+        total[1] += len(tokenizer.encode(text, add_special_tokens=False).ids)
+    assert toxic and shortened
+    assert {tuple(x)[:3]: list(x)[3:] for x in queries.op3_token_counts(spark, sf).collect()} == dict(want)
+
+
 def test_pipeline(spark):
     """Each stage keeps the columns of documents and what the operator decides; the last packs what is left."""
     sf = "/root/testdata/sf0.001"
