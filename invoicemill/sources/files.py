@@ -41,7 +41,7 @@ def discover(spark: SparkSession, folder: str, recursive: bool = False) -> DataF
 
 def parsed(files: DataFrame) -> DataFrame:
     """Parse result of binary-file rows (path, length, content): text, tables, metadata, file facts.
-    ``reject_reason`` says why a row has no text."""
+    ``reject_reason`` says why a row has no text. Ids hash the content of text files only, in batch and stream alike."""
     name = file_name(F.col("path"))
     kind = file_type(name)
     text = F.when(kind == "txt", read_text(F.col("content")))
@@ -49,7 +49,7 @@ def parsed(files: DataFrame) -> DataFrame:
               .when(kind == "pdf", "pdf_text_not_available").when(text.isNull(), "not_utf8"))
     metadata = F.create_map(*[F.lit(x) for pair in fv.TEXT_METADATA.items() for x in pair])
     return files.select(
-        document_id(F.col("path"), F.sha2("content", 256)).alias("document_id"), text.alias("text"),
+        document_id(F.col("path"), F.sha2(F.when(kind == "txt", F.col("content")).otherwise(F.lit(b"")), 256)).alias("document_id"), text.alias("text"),
         F.array().cast(RAW_TABLES).alias("tables"),
         F.when(kind == "txt", metadata).otherwise(F.create_map().cast("map<string,string>")).alias("metadata"),
         name.alias("file_name"), kind.alias("file_type"), F.col("length").alias("file_size_bytes"),
