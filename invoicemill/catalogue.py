@@ -129,6 +129,12 @@ def dq_report(spark, sf_dir):
     return quality.dq_report({"parsed_invoices": invoices, "parsed_line_items": lines} | vars(model))
 
 
+def dq_report_faulty(spark, sf_dir):
+    """The checks over the same tables with every kind of fault planted."""
+    invoices, lines = ot.silver(spark, sf_dir)
+    return quality.dq_report(ot.planted_faults({"parsed_invoices": invoices, "parsed_line_items": lines} | vars(_star(spark, sf_dir))))
+
+
 def totals_mismatch(spark, sf_dir):
     """Run on the cleaned layer, where totals that do not add up still are."""
     invoices = ot.silver(spark, sf_dir)[0]
@@ -155,6 +161,13 @@ def rule_failures(spark, sf_dir):
     return failed.groupBy("r.rule_name", "r.severity").agg(F.count("*").alias("failures"))
 
 
+def rule_failures_planted(spark, sf_dir):
+    """The same over headers with faults for the rules that hold in all others."""
+    rows = va.validate(ot.planted_headers(ot.headers(spark, sf_dir)), as_of=ot.AS_OF)
+    failed = rows.select(F.explode(va.failures(F.col("rules"))).alias("r"))
+    return failed.groupBy("r.rule_name", "r.severity").agg(F.count("*").alias("failures"))
+
+
 def gold_rejects(spark, sf_dir):
     return layers.gold_rejects(_judged(spark, sf_dir)).withColumn("errors", F.concat_ws("; ", "errors"))
 
@@ -332,16 +345,54 @@ def _write_files(spark, sf_dir):
     return folder
 
 
+def _uploads(spark, sf_dir):
+    """The documents as uploaded bytes: text files, some not UTF-8, and types that are not read."""
+    key, name = F.col("doc_id").cast("string"), F.lit("doc-")
+    ending = (F.when(F.col("doc_id") % 5 == 1, ".pdf").when(F.col("doc_id") % 5 == 2, ".csv")
+              .when(F.col("doc_id") % 5 == 3, ".TXT").otherwise(".txt"))
+    content = F.concat(F.when(F.col("doc_id") % 10 == 4, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))), F.encode("text", "UTF-8"))
+    rows = _documents(spark, sf_dir).select(F.concat(name, key, ending).alias("name"), content.alias("content"))
+    return files.parsed(tables.documents_from_bytes(rows, "name", "content"))
+
+
+def bronze_files(spark, sf_dir):
+    """Every upload, bad ones too."""
+    return layers.bronze(_uploads(spark, sf_dir), layers.as_timestamp(LOADED_AT))
+
+
+def file_rejects(spark, sf_dir):
+    return files.rejected(_uploads(spark, sf_dir))
+
+
+def compact_json(spark, sf_dir):
+    uploads = _uploads(spark, sf_dir)
+    return uploads.select("document_id", files.compact_json(uploads).alias("json"))
+
+
+def _texts(spark, sf_dir):
+    return ot.corpus(spark, sf_dir)[2].select("document_id", F.col("raw_text").alias("text"))
+
+
+def _stream(spark, texts: DataFrame) -> layers.Layers:
+    """Texts taken as a stream of Parquet files, two to a batch."""
+    source, root = new_folder(spark, "stream-in"), new_folder(spark, "stream-out")
+    texts.write.parquet(source)
+    stream = incremental.stream_table(spark, source, "document_id STRING, text STRING", files_per_batch=2)
+    incremental.load_stream(stream, root, root + "/_checkpoint", as_of=ot.AS_OF, loaded_at=LOADED_AT).awaitTermination()
+    return layers.Layers(spark, root)
+
+
 def _streamed(spark, sf_dir) -> layers.Layers:
-    """The rendered texts taken as a stream of Parquet files, in several batches."""
-    def run():
-        source, root = new_folder(spark, "stream-in"), new_folder(spark, "stream-out")
-        texts = ot.corpus(spark, sf_dir)[2].select("document_id", F.col("raw_text").alias("text"))
-        texts.repartition(4, "document_id").write.parquet(source)
-        stream = incremental.stream_table(spark, source, "document_id STRING, text STRING", files_per_batch=2)
-        incremental.load_stream(stream, root, root + "/_checkpoint", as_of=ot.AS_OF, loaded_at=LOADED_AT).awaitTermination()
-        return layers.Layers(spark, root)
-    return _once("stream", spark, sf_dir, run)
+    """The rendered texts in several batches."""
+    return _once("stream", spark, sf_dir, lambda: _stream(spark, _texts(spark, sf_dir).repartition(4, "document_id")))
+
+
+def _streamed_copies(spark, sf_dir) -> layers.Layers:
+    """Every text two to four times, within and across batches."""
+    copies = F.sequence(F.lit(1), F.col("document_id").cast("bigint") % 3 + 2)
+    texts = _texts(spark, sf_dir).withColumn("copy", F.explode(copies))
+    return _once("stream-copies", spark, sf_dir, lambda: _stream(
+        spark, texts.repartition(4, "document_id", "copy").drop("copy")))
 
 
 def stream_ingest(spark, sf_dir):
@@ -356,6 +407,39 @@ def stream_line_facts(spark, sf_dir):
     return _streamed(spark, sf_dir).read("gold/fact_invoice_line_items").drop("batch_id")
 
 
+def stream_documents(spark, sf_dir):
+    return _streamed(spark, sf_dir).read("gold/dim_documents").drop("batch_id")
+
+
+def stream_summary(spark, sf_dir):
+    return _streamed(spark, sf_dir).read("gold/fact_invoice_summary").drop("batch_id")
+
+
+def stream_duplicates(spark, sf_dir):
+    """The summary again, of a stream that brings every document several times."""
+    return _streamed_copies(spark, sf_dir).read("gold/fact_invoice_summary").drop("batch_id")
+
+
+def stream_duplicate_vendors(spark, sf_dir):
+    return _no_audit(_streamed_copies(spark, sf_dir).read("gold/dim_vendors"))
+
+
+def dry_run(spark, sf_dir):
+    """What a load would put into the summary; nothing is written."""
+    load = layers.Layers(spark, new_folder(spark, "never-written")).load
+    return load(_texts(spark, sf_dir), as_of=ot.AS_OF, loaded_at=LOADED_AT, dry_run=True)["gold/fact_invoice_summary"]
+
+
+def mart_files(spark, sf_dir):
+    """The summary table of the star as another job reads it from its written mart."""
+    def write():
+        root = new_folder(spark, "mart")
+        _star(spark, sf_dir).write(root)
+        return root
+    root = _once("mart", spark, sf_dir, write)
+    return _no_audit(spark.read.parquet(f"{root}/gold/fact_invoice_summary"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stg_invoices, stg_line_items, int_cleaned, vendors_latest, dim_vendors, dim_documents, fact_line_items, fact_summary,
     kpis, spend_by_vendor, spend_by_date, summary_by_date_desc, top_line_items, recent_submissions, loader_summary,
@@ -363,4 +447,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     completion_rate, vendor_id_sha16, parse_currency, edits_applied, edits_log, vendor_upsert, rendered_texts,
     default_amounts, roundtrip_header, roundtrip_parties, roundtrip_items, confidence, digest_brief, digest_full, insights, run_counts,
     doc_contacts, doc_fields, bronze_documents, silver_invoices, silver_line_items, ingest_files, stream_ingest,
-    stream_vendors, stream_line_facts)}
+    stream_vendors, stream_line_facts, stream_documents, stream_summary, stream_duplicates, stream_duplicate_vendors, dry_run,
+    mart_files, bronze_files, file_rejects, compact_json, dq_report_faulty, rule_failures_planted)}

@@ -234,7 +234,33 @@ def money(x: str) -> str:
     return f"format('{{:,.2f}}', CAST({x} AS DOUBLE))"
 
 
-def dq() -> str:
+PLANTED = """planted_invoices AS (SELECT * FROM invoices UNION ALL SELECT * FROM invoices WHERE o_orderkey % 97 = 0),
+planted_lines AS (SELECT CASE WHEN CAST(document_id AS BIGINT) % 83 <> 0 THEN line_item_id END AS line_item_id,
+    CASE WHEN CAST(document_id AS BIGINT) % 89 = 0 THEN 'X' || document_id WHEN CAST(document_id AS BIGINT) % 79 <> 0 THEN document_id END AS document_id
+  FROM lines),
+planted_stg AS (SELECT * REPLACE (CASE WHEN CAST(document_id AS BIGINT) % 73 <> 0 THEN vendor_name END AS vendor_name,
+    CASE WHEN CAST(document_id AS BIGINT) % 71 = 0 THEN 'unknown' ELSE validation_status END AS validation_status) FROM stg),
+planted_documents AS (
+  SELECT * REPLACE (CASE WHEN CAST(document_id AS BIGINT) % 67 = 0 THEN total_amount + 1 ELSE total_amount END AS total_amount) FROM dim_documents
+  UNION ALL SELECT * FROM dim_documents WHERE CAST(document_id AS BIGINT) % 47 = 0)"""
+PLANTED_FOR = {"invoices": "planted_invoices", "lines": "planted_lines", "stg": "planted_stg", "dim_documents": "planted_documents"}
+
+#: Headers in which the rules fail that hold in all others.
+PLANTED_HEADERS = """planted_headers AS (SELECT * REPLACE (
+    CASE WHEN o_orderkey % 61 = 0 THEN CAST(subtotal + 5 AS DECIMAL(12,2)) ELSE subtotal END AS subtotal,
+    CASE WHEN o_orderkey % 37 = 0 THEN CAST(-1 AS DECIMAL(12,2)) ELSE tax_amount END AS tax_amount),
+  CASE WHEN o_orderkey % 41 = 0 THEN 1 ELSE 0 END AS n_missing FROM headers)"""
+
+
+def planted_rules_sql() -> str:
+    failed = [f"SELECT '{name}' AS rule_name, {severity} AS severity, {'n_items = 0 OR n_missing = 0' if name == 'line_items_complete' else passed} AS passed "
+              f"FROM planted_headers" for _, name, passed, severity, *_ in _rules()]
+    results = "results AS (\n" + "\nUNION ALL\n".join(failed) + ")"
+    return on("SELECT rule_name, severity, count(*) AS failures FROM results WHERE NOT passed GROUP BY rule_name, severity", PLANTED_HEADERS, results)
+
+
+def dq(planted: bool = False) -> str:
+    named = lambda table: PLANTED_FOR.get(table, table) if planted else table
     unique = [("parsed_invoices", "invoices", "document_id"), ("parsed_line_items", "lines", "line_item_id"),
               ("stg_parsed_invoices", "stg", "document_id"), ("stg_parsed_line_items", "stg_lines", "line_item_id"),
               ("int_cleaned_invoices", "cleaned", "document_id"), ("int_normalized_vendors", "vendors", "vendor_id"),
@@ -245,17 +271,17 @@ def dq() -> str:
                          ("stg_parsed_invoices", "stg", "total_amount"), ("stg_parsed_line_items", "stg_lines", "document_id"),
                          ("dim_vendors", "dim_vendors", "vendor_name")]
     row = "SELECT '{}' AS check_name, '{}' AS model, '{}' AS column_name, CAST(count(*) AS BIGINT) AS failures FROM {}"
-    parts = [row.format("unique", m, c, f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+    parts = [row.format("unique", m, c, f"(SELECT {c} FROM {named(t)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
              for m, t, c in unique]
-    parts += [row.format("not_null", m, c, f"{t} WHERE {c} IS NULL") for m, t, c in not_null]
+    parts += [row.format("not_null", m, c, f"{named(t)} WHERE {c} IS NULL") for m, t, c in not_null]
     parts.append(row.format("accepted_values", "stg_parsed_invoices", "validation_status",
-                            "stg WHERE validation_status NOT IN ('passed', 'failed', 'review_needed')"))
+                            f"{named('stg')} WHERE validation_status NOT IN ('passed', 'failed', 'review_needed')"))
     parts.append(row.format("relationships", "parsed_line_items", "document_id",
-                            "lines WHERE document_id IS NOT NULL AND document_id NOT IN (SELECT document_id FROM invoices)"))
+                            f"{named('lines')} WHERE document_id IS NOT NULL AND document_id NOT IN (SELECT document_id FROM invoices)"))
     parts.append(row.format("totals_match", "dim_documents", "total_amount",
-                            "dim_documents WHERE abs(total_amount - (subtotal + tax_amount)) > 0.02"))
+                            f"{named('dim_documents')} WHERE abs(total_amount - (subtotal + tax_amount)) > 0.02"))
     return on("\nUNION ALL\n".join(parts), *FACTS,
-              "stg_lines AS (SELECT l.* FROM lines l JOIN stg s ON l.document_id = s.document_id)")
+              "stg_lines AS (SELECT l.* FROM lines l JOIN stg s ON l.document_id = s.document_id)", *([PLANTED] if planted else []))
 
 
 EDITS_CTE = """edits AS (
@@ -461,7 +487,29 @@ sides AS (SELECT f.vendor_id, f.early, l.vendor_name, f.vendor_address, f.vendor
   FROM firsts f JOIN lasts l ON f.vendor_id = l.vendor_id AND f.early = l.early)""")
 
 
+UPLOADS = """WITH raw AS (
+  SELECT 'doc-' || doc_id || CASE doc_id % 5 WHEN 1 THEN '.pdf' WHEN 2 THEN '.csv' WHEN 3 THEN '.TXT' ELSE '.txt' END AS path, text,
+    CASE doc_id % 5 WHEN 1 THEN 'pdf' WHEN 2 THEN 'csv' ELSE 'txt' END AS kind, doc_id % 10 = 4 AS broken FROM documents),
+bytes AS (SELECT *, CASE WHEN broken THEN '\\xFF'::BLOB || encode(text) ELSE encode(text) END AS content FROM raw),
+uploads AS (
+  SELECT substr(sha256(path || chr(10) || sha256(CASE WHEN kind = 'txt' THEN content ELSE ''::BLOB END)), 1, 32) AS document_id,
+    path, kind, CAST(octet_length(content) AS BIGINT) AS size,
+    CASE WHEN kind = 'txt' AND NOT broken THEN regexp_replace(text, '\\r\\n?', chr(10), 'g') END AS text,
+    CASE WHEN kind = 'txt' THEN '{"source":"text_file","encoding":"utf-8"}' ELSE '{}' END AS metadata,
+    CASE WHEN kind = 'csv' THEN 'unsupported_file_type' WHEN kind = 'pdf' THEN 'pdf_text_not_available' WHEN broken THEN 'not_utf8' END AS reject_reason
+  FROM bytes)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
+    vendors_loaded = on(f"""SELECT {SHA16} AS vendor_id, vendor_name, vendor_address, min(vendor_city) AS vendor_city, min(vendor_state) AS vendor_state,
+  min(vendor_zip) AS vendor_zip, min(vendor_phone) AS vendor_phone, min(vendor_email) AS vendor_email, {AS_OF} AS first_seen_date, count(*) AS document_count
+FROM invoices WHERE validation_status <> 'failed' GROUP BY vendor_name, vendor_address""", *INVOICES, faults=False)
+    summary_loaded = on(f"""SELECT i.document_id, coalesce(n, 0) AS total_line_items, subtotal, tax_amount, total_amount,
+  {from_cents(half_up(cents("amount"), "k"))} AS avg_line_item_amount, hi AS max_line_item_amount, invoice_date, {SHA16} AS vendor_id
+FROM invoices i LEFT JOIN (SELECT document_id, count(*) AS n, count(nullif(line_amount, 0)) AS k, CAST(sum(line_amount) AS DECIMAL(18,2)) AS amount,
+  max(nullif(line_amount, 0)) AS hi FROM lines GROUP BY document_id) s ON i.document_id = s.document_id
+WHERE validation_status <> 'failed'""", *INVOICES, LINES_CTE, faults=False)
     silver = ", ".join(SILVER)
     brief = f"""concat_ws(' ', 'Invoice ' || invoice_number, 'from ' || vendor_name, 'for $' || {money("total_amount")},
   'dated ' || strftime(invoice_date, '%b %d, %Y'))"""
@@ -559,9 +607,23 @@ SELECT 'txt' AS file_type, CAST(size AS BIGINT) AS file_size_bytes, CAST(length(
   CAST(NULL AS VARCHAR) AS reject_reason FROM t""",
         "stream_ingest": on(f"SELECT {silver.replace('parse_timestamp', '''TIMESTAMP '2001-08-01 00:00:00' AS parse_timestamp''')} FROM invoices",
                             *INVOICES, faults=False),
-        "stream_vendors": on(f"""SELECT {SHA16} AS vendor_id, vendor_name, vendor_address, min(vendor_city) AS vendor_city, min(vendor_state) AS vendor_state,
-  min(vendor_zip) AS vendor_zip, min(vendor_phone) AS vendor_phone, min(vendor_email) AS vendor_email, {AS_OF} AS first_seen_date, count(*) AS document_count
-FROM invoices WHERE validation_status <> 'failed' GROUP BY vendor_name, vendor_address""", *INVOICES, faults=False),
+        "stream_vendors": vendors_loaded,
         "stream_line_facts": on(f"""SELECT i.document_id, {SHA16} AS vendor_id, line_number, description, quantity, unit_price, line_amount
 FROM lines l JOIN invoices i ON l.document_id = i.document_id WHERE validation_status <> 'failed'""", *INVOICES, LINES_CTE, faults=False),
+        "stream_documents": on(f"""SELECT document_id, {SHA16} AS vendor_id, 'invoice' AS document_type, CAST(NULL AS VARCHAR) AS file_name, invoice_number,
+  invoice_date, due_date, po_number, subtotal, tax_amount, total_amount, currency, parse_confidence, TIMESTAMP '2001-08-01 00:00:00' AS upload_timestamp
+FROM invoices WHERE validation_status <> 'failed'""", *INVOICES, faults=False),
+        "stream_summary": summary_loaded,
+        "stream_duplicates": summary_loaded,
+        "stream_duplicate_vendors": vendors_loaded,
+        "dry_run": summary_loaded,
+        "mart_files": on("SELECT * FROM fact_summary", *FACTS),
+        "bronze_files": UPLOADS + """SELECT document_id, path AS file_name, kind AS file_type, size AS file_size_bytes, coalesce(text, '') AS raw_text,
+  '[]' AS raw_tables_json, metadata AS metadata_json, TIMESTAMP '2001-08-01 00:00:00' AS ingestion_timestamp, path AS source_path FROM uploads""",
+        "file_rejects": UPLOADS + """SELECT document_id, path AS file_name, kind AS file_type, size AS file_size_bytes, path AS source_path, reject_reason
+FROM uploads WHERE reject_reason IS NOT NULL""",
+        "compact_json": UPLOADS + """SELECT document_id, '{"tables":[],"metadata":' || metadata || ',"file_name":"' || path || '","file_type":"' || kind
+  || '","file_size_bytes":' || size || CASE WHEN text IS NULL THEN '' ELSE ',"text_length":' || length(text) END || '}' AS json FROM uploads""",
+        "dq_report_faulty": dq(planted=True),
+        "rule_failures_planted": planted_rules_sql(),
     }

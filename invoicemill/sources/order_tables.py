@@ -128,6 +128,32 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount.alias("line_amount"))
 
 
+def planted_headers(rows: DataFrame) -> DataFrame:
+    """Headers with a subtotal that its lines contradict, a negative tax, or lines without an amount."""
+    every = lambda n: F.col("document_id").cast("bigint") % n == 0
+    return rows.withColumns({
+        "subtotal": F.when(every(61), (F.col("subtotal") + 5).cast(MONEY)).otherwise(F.col("subtotal")),
+        "tax_amount": F.when(every(37), F.lit("-1.00").cast(MONEY)).otherwise(F.col("tax_amount")),
+        "line_items_missing": F.when(every(41), F.lit(1)).otherwise(F.col("line_items_missing"))})
+
+
+def planted_faults(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The layers with faults that each kind of check must count: repeated, missing and orphan keys, an unknown status, totals
+    that do not add up."""
+    every = lambda n: F.col("document_id").cast("bigint") % n == 0
+    unless = lambda n, name: F.when(~every(n), F.col(name)).alias(name)
+    change = lambda df, **columns: df.select(*[columns.get(c, F.col(c)) for c in df.columns])
+    invoices, lines, staged, documents = (tables[n] for n in ("parsed_invoices", "parsed_line_items", "stg_parsed_invoices", "dim_documents"))
+    orphan = F.when(every(89), F.concat(F.lit("X"), "document_id")).when(~every(79), F.col("document_id")).alias("document_id")
+    status = F.when(every(71), "unknown").otherwise(F.col("validation_status")).alias("validation_status")
+    total = F.when(every(67), (F.col("total_amount") + 1).cast(MONEY)).otherwise(F.col("total_amount")).alias("total_amount")
+    return tables | {
+        "parsed_invoices": invoices.unionByName(invoices.where(every(97))),
+        "parsed_line_items": change(lines, document_id=orphan, line_item_id=unless(83, "line_item_id")),
+        "stg_parsed_invoices": change(staged, vendor_name=unless(73, "vendor_name"), validation_status=status),
+        "dim_documents": change(documents, total_amount=total).unionByName(documents.where(every(47)))}
+
+
 _landed: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
