@@ -64,24 +64,32 @@ def totals_mismatch(documents: DataFrame) -> DataFrame:
             .where(F.col("difference") > F.lit(fv.AMOUNT_TOLERANCE).cast(MONEY)))
 
 
-def row_checks(df: DataFrame, model: str) -> DataFrame | None:
-    """All checks of one table that look at one row at a time, in one pass."""
+def _key_and_row_checks(df: DataFrame, model: str) -> DataFrame | None:
+    """All checks of one table that need no other table, in one pass. Rows are reduced to one per value of each unique column
+    (several columns of a row stand as (place, value) below each other), with the failures of row checks added up on the first of them."""
+    unique = [c for m, c in UNIQUE if m == model]
     checks = [("not_null", c, F.col(c).isNull()) for m, c in NOT_NULL if m == model]
     checks += [("accepted_values", c, ~F.col(c).isin(values)) for m, c, values in ACCEPTED_VALUES if m == model]
-    if not checks:
+    if not unique:
         return None
-    counted = df.agg(*[F.count_if(failed).alias(f"f{i}") for i, (_, _, failed) in enumerate(checks)])
-    rows = F.array(*[F.struct(F.lit(check).alias("check_name"), F.lit(model).alias("model"),
-                              F.lit(column).alias("column_name"), F.col(f"f{i}").cast("bigint").alias("failures"))
-                     for i, (check, column, _) in enumerate(checks)])
-    return counted.select(F.inline(rows))
+    failed = [F.coalesce(f, F.lit(False)).cast("bigint").alias(f"f{i}") for i, (_, _, f) in enumerate(checks)]
+    names = [f"f{i}" for i in range(len(checks))]
+    keys = ([F.lit(0).alias("which"), F.col(unique[0]).alias("key")] if len(unique) == 1 else
+            [F.posexplode(F.array(*[F.col(c).cast("string") for c in unique])).alias("which", "key")])
+    keyed = df.select(*failed, *keys)
+    per_key = keyed.groupBy("which", "key").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in names])
+    twice = [F.count_if((F.col("which") == i) & F.col("key").isNotNull() & (F.col("n") > 1)).alias(f"u{i}") for i in range(len(unique))]
+    counted = per_key.agg(*twice, *[F.coalesce(F.sum(F.when(F.col("which") == 0, F.col(f))), F.lit(0)).alias(f) for f in names])
+    found = [("unique", c, f"u{i}") for i, c in enumerate(unique)] + [(check, c, f) for (check, c, _), f in zip(checks, names)]
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check_name"), F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                 F.col(f).cast("bigint").alias("failures")) for check, c, f in found])))
 
 
 def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check (check_name, model, column_name, failures)."""
     count = lambda df: df.agg(F.count("*").alias("failures"))
-    parts = [r for r in (row_checks(df, model) for model, df in tables.items()) if r is not None]
-    parts += [_report(count(duplicate_keys(tables[m], c)), "unique", m, c) for m, c in UNIQUE]
+    parts = [r for r in (_key_and_row_checks(df, model) for model, df in tables.items()) if r is not None]
     parts += [_report(orphan_keys(tables[m], c, tables[pm], pc).agg(F.coalesce(F.sum("n_records"), F.lit(0))
                       .alias("failures")), "relationships", m, c) for m, c, pm, pc in RELATIONSHIPS]
     model, column = TOTALS_MATCH
