@@ -2,11 +2,11 @@
 
 Unit vectors are split into halves; each half has a codebook of its own, and the pairs of codewords form a grid of cells. Every vector is filed under
 the cell of its nearest codewords. As a query it visits cells in the order of the sum of both distances (multi-sequence traversal: the next cell
-is always the best one whose predecessors in row and column were visited). How many cells are visited is fitted: sampled vectors with a
-link are looked up, and the traversal goes on until TARGET_RECALL of their links are met. What meets in a cell is verified by the cosine in
-double precision.
+is always the best one whose predecessors in row and column were visited). How many cells are visited is fitted: the partners of sampled vectors
+are found by brute force among all vectors, and the traversal goes on until on average TARGET_RECALL of a vector's partners are met, over
+all sampled vectors with a link and over those with few partners. What meets in a cell is verified by the cosine in double precision.
 
-Codebooks and depth are fitted on at most SAMPLE vectors; all vectors are filed and all are queries. The number of codewords follows the number of
+Codebooks are fitted on at most SAMPLE vectors; all vectors are filed and all are queries. The number of codewords follows the number of
 vectors, so that a cell holds about the same number of vectors at any size. Vectors that are equal are filed once, and a cell with very many vectors
 is cut into blocks that meet in pairs, each in a task of its own. Links leave a task as counts and as a spanning forest, never as all pairs.
 """
@@ -14,18 +14,25 @@ is cut into blocks that meet in pairs, each in a task of its own. Links leave a
 from __future__ import annotations
 
 import heapq
+import logging
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from invoicemill.llm.components import components
-from invoicemill.llm.texts import groups
+from invoicemill.llm.texts import groups, mix
 from invoicemill.session import written
 
 COSINE = 0.9
-SAMPLE = 20_000             # vectors that codebooks and depth are fitted on, at most
+SAMPLE = 20_000             # vectors that codebooks are fitted on, at most
+QUERIES = 2048              # vectors whose partners are looked for among all vectors in one pass, at most
+ENOUGH = 200                # queries with a link that the depth is fitted on; with fewer a further pass follows
+PASSES = 8                  # at most
+PARTNERS = 16               # partners of a query that the depth is fitted on, at most
+PARTNER_VALUES = 1 << 23    # numbers in the partners of one pass (64 MB), at most
+FEW = 8                     # partners up to which a vector counts as one of a small group
 CELL = 32                   # vectors per cell that the number of codewords aims at
 MOST_CODEWORDS = 1024
 ROUNDS = 8                  # of k-means
@@ -72,6 +79,7 @@ def traverse(first: np.ndarray, second: np.ndarray, cells: int) -> list[int]:
 class MultiIndex:
     def __init__(self, first: np.ndarray, second: np.ndarray, depth: int = 1):
         self.first, self.second, self.depth = first, second, depth
+        self.recall = self.recall_few = None            # over sampled queries, and over those with few partners
 
     def _halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         half = self.first.shape[1]
@@ -86,32 +94,104 @@ class MultiIndex:
         return [traverse(p, q, depth or self.depth) for p, q in zip(a, b)]
 
 
-def fit(x: np.ndarray, total: int, cosine: float = COSINE, target: float = TARGET_RECALL) -> MultiIndex:
-    """Codebooks and depth from a sample of unit vectors out of ``total``."""
+def fit(x: np.ndarray, total: int, queries: np.ndarray, of: np.ndarray, partners: np.ndarray, few: np.ndarray, target: float = TARGET_RECALL) -> MultiIndex:
+    """Codebooks from a sample ``x`` of unit vectors out of ``total``, depth from true links: ``partners[i]`` is one of ``queries[of[i]]``.
+
+    Each query weighs the same, however many partners it has, and those with ``few`` partners have to reach the target by themselves too.
+    """
     half = x.shape[1] // 2
     k = int(np.clip(round((total / CELL) ** 0.5), 1, MOST_CODEWORDS))
     while True:
         index = MultiIndex(codebook(x[:, :half], k), codebook(x[:, half:], k))
-        places = []             # at which place of a query's traversal the home of its partner comes
-        home = index.homes(x)
-        for start in range(0, len(x), 1024):
-            near = x[start:start + 1024] @ x.T >= cosine
-            near[np.arange(near.shape[0]), np.arange(start, start + near.shape[0])] = False
-            for i in np.flatnonzero(near.any(1)):
-                order = {c: n for n, c in enumerate(index.visits(x[start + i:start + i + 1], MOST_CELLS)[0])}
-                # A few partners of each query are enough for the share, and one of a large group then weighs as one.
-                places += [order.get(int(home[j]), MOST_CELLS) for j in np.flatnonzero(near[i])[:20]]
-        if not places:
-            index.depth = min(8, k * k)
+        if not len(queries):
             return index
+        # At which place of a query's traversal the home of its partner comes.
+        orders = [{c: n for n, c in enumerate(cells)} for cells in index.visits(queries, MOST_CELLS)]
+        home = np.concatenate([index.homes(partners[at:at + 4096]) for at in range(0, len(partners), 4096)])
+        met = np.zeros((len(queries), MOST_CELLS + 1))
+        np.add.at(met, (of, [orders[q].get(c, MOST_CELLS) for q, c in zip(of.tolist(), home.tolist())]), 1)
+        met = met.cumsum(1)[:, :MOST_CELLS] / met.sum(1)[:, None]
         # The query that stands closer finds the pair for both, so this recall is a lower bound.
-        depth = int(np.quantile(np.array(places), target, method="higher")) + 1
-        if depth <= MOST_CELLS or k == 1:
-            index.depth = min(depth, k * k)
+        every, small = met.mean(0), met[few].mean(0) if few.any() else np.ones(MOST_CELLS)
+        enough = np.flatnonzero((every >= target - 1e-9) & (small >= target - 1e-9))
+        if len(enough):
+            index.depth = int(enough[0]) + 1
+            index.recall, index.recall_few = float(every[enough[0]]), float(small[enough[0]])
             return index
         k = max(1, k // 2)
 
 
+def _partners(shared, cosine: float, keep: int):
+    """For each query the number of its partners among all vectors of a task, and at most ``keep`` of them drawn by hash."""
+    def run(batches):
+        ids, queries = shared.value
+        n, limit = np.zeros(len(ids), np.int64), np.full(len(ids), 1 << 63, np.uint64)
+        query, rank, who = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                own = part.column("vec_id").to_numpy()
+                i, q = np.nonzero((_matrix(part.column("unit")) @ queries.T >= cosine) & (own[:, None] != ids[None, :]))
+                n += np.bincount(q, minlength=len(ids))
+                drawn = mix(mix(own.astype(np.uint64))[i] + q.astype(np.uint64)) >> np.uint64(1)
+                lower = drawn < limit[q]
+                if lower.any():
+                    query, rank, who = np.concatenate([query, q[lower]]), np.concatenate([rank, drawn[lower]]), np.concatenate([who, own[i[lower]]])
+                    order = np.lexsort((rank, query))
+                    query, rank, who = query[order], rank[order], who[order]
+                    place = np.arange(len(query)) - np.searchsorted(query, query)
+                    limit[query[place == keep - 1]] = rank[place == keep - 1]
+                    query, rank, who = (c[place < keep] for c in (query, rank, who))
+        counted = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([counted, query]), pa.int64()), pa.array([None] * len(counted) + rank.tolist(), pa.int64()),
+            pa.array([None] * len(counted) + who.tolist(), pa.int64()), pa.array(np.concatenate([n[counted], np.zeros(len(query), np.int64)]), pa.int64())],
+            ["query", "rank", "vec_id", "n"])
+    return run
+
+
+def true_links(classes: DataFrame, total: int, dim: int, cosine: float, most: int = QUERIES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Sampled vectors that have a link, for some of their partners the place of the vector and the partner, which vectors have few partners, and whether
+    all vectors were asked.
+
+    Partners are looked for among all vectors by brute force, ``most`` queries in a pass. Further passes follow while fewer than ENOUGH queries have a link.
+    """
+    spark, keep = classes.sparkSession, int(np.clip(PARTNER_VALUES // (most * max(1, dim)), 1, PARTNERS))
+    share, asked, linked = min(1.0, 0.9 * most / total), 0.0, 0
+    found = [(np.zeros((0, dim)), np.zeros(0, np.int64), np.zeros((0, dim)), np.zeros(0, bool))]
+    place = F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1 << 30)) / (1 << 30)
+    for _ in range(PASSES):
+        drawn = classes.where((place >= asked) & (place < asked + share)).select("vec_id", "unit").limit(most).toArrow()
+        asked += share
+        if drawn.num_rows:
+            queries = _matrix(drawn.column("unit"))
+            shared = spark.sparkContext.broadcast((drawn.column("vec_id").to_numpy(), queries))
+            pairs = classes.select("vec_id", "unit").mapInArrow(_partners(shared, cosine, keep), "query bigint, rank bigint, vec_id bigint, n bigint")
+            pairs = written(pairs, "true-links")
+            n = np.zeros(len(queries), np.int64)
+            for q, count in pairs.where("vec_id is null").groupBy("query").agg(F.sum("n")).collect():
+                n[q] = count
+            own = pairs.where("vec_id is not null").withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("rank", "vec_id")))
+            own = classes.select("vec_id", "unit").join(F.broadcast(own.where(F.col("place") <= keep).select("vec_id", "query")), "vec_id")
+            own = own.select("query", "unit").toArrow()             # at most PARTNER_VALUES numbers
+            if own.num_rows:
+                at = np.cumsum(n > 0) - 1 + linked
+                found.append((queries[n > 0], at[own.column("query").to_numpy()], _matrix(own.column("unit")), n[n > 0] <= FEW))
+                linked += int((n > 0).sum())
+        if asked >= 1 or linked >= ENOUGH:
+            break
+    queries, of, partners, few = (np.concatenate(c) for c in zip(*found))
+    return queries, of, partners, few, asked >= 1
+
+
+def planted(x: np.ndarray, cosine: float, seed: int = 6) -> np.ndarray:
+    """For each unit vector one at the cosine ``cosine`` from it, in a random direction."""
+    aside = np.random.default_rng(seed).normal(size=x.shape)
+    aside -= (aside * x).sum(1)[:, None] * x
+    aside /= np.maximum(np.linalg.norm(aside, axis=1), 1e-12)[:, None]
+    return cosine * x + max(0.0, 1 - cosine ** 2) ** 0.5 * aside
+
+
 def _unit(cosine_dim: int):
     """Unit vectors; null, zero, non-finite and ones of another length are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +279,24 @@ def _meet(cosine: float):
     return run
 
 
+def _fitted(classes: DataFrame, total: int, dim: int, cosine: float, sample: int, target: float, most: int) -> MultiIndex:
+    draw = lambda share: classes.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share * (1 << 30)).select("unit").limit(sample).toArrow()
+    drawn = draw(min(1.0, 0.9 * sample / total))
+    x = _matrix((drawn if drawn.num_rows else draw(1.0)).column("unit"))
+    queries, of, partners, few, all_asked = true_links(classes, total, dim, cosine, most)
+    linked = len(queries)
+    if linked < ENOUGH and not all_asked:           # too few to measure by: pairs at the threshold, the hardest ones, count too
+        more = x[:ENOUGH]
+        of = np.concatenate([of, linked + np.arange(len(more))])
+        queries, partners, few = np.concatenate([queries, more]), np.concatenate([partners, planted(more, cosine)]), np.concatenate([few, np.ones(len(more), bool)])
+    index = fit(x, total, queries, of, partners, few, target)
+    logging.getLogger(__name__).info("%d x %d codewords, %d cells visited; %d linked queries and %d planted ones, recall %s, with at most %d partners %s",
+                                     len(index.first), len(index.second), index.depth, linked, len(queries) - linked, index.recall, FEW, index.recall_few)
+    return index
+
+
 def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE,
-                    sample: int = SAMPLE, target: float = TARGET_RECALL) -> DataFrame:
+                    sample: int = SAMPLE, target: float = TARGET_RECALL, queries: int = QUERIES) -> DataFrame:
     """One row per distinct id: id, n_links, component_id, kept.
 
     n_links counts the other vectors with a cosine of at least ``cosine`` that were found, component_id is the smallest id that links reach. Null and zero vectors,
@@ -219,9 +315,7 @@ def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     classes = written(classes, "vector-classes")
     total = classes.count()
     if total:
-        share = min(1.0, 0.9 * sample / total)
-        drawn = classes.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share * (1 << 30)).select("unit").limit(sample).toArrow()
-        index = fit(_matrix(drawn.column("unit")) if drawn.num_rows else np.zeros((0, dim)), total, cosine, target) if drawn.num_rows else MultiIndex(np.zeros((1, dim // 2)), np.zeros((1, dim - dim // 2)))
+        index = _fitted(classes, total, dim, cosine, sample, target, queries)
         shared = spark.sparkContext.broadcast(index)                # at most 2 * MOST_CODEWORDS codewords
         filed = written(classes.select("vec_id", "copies", "unit").mapInArrow(_file(shared), "vec_id bigint, copies bigint, home bigint, visits array<bigint>"), "filed")
         links = _links(filed, classes, cosine)

@@ -65,6 +65,36 @@ def test_embedding_recall_on_the_table(spark):
     assert (got.n_links.values <= n).all() and got.n_links.sum() >= 0.9 * n.sum()
 
 
+def test_embedding_small_groups(spark):
+    """Pairs beside one huge group: of the few vectors drawn hardly any two are a pair, so their links have to be looked for among all vectors."""
+    r = np.random.default_rng(11)
+    base = r.normal(size=(1500, 16))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    x = np.concatenate([base, near.planted(base, 0.91), r.normal(size=16) + 0.01 * r.normal(size=(1500, 16))])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>").repartition(3)
+    got = {row["vec_id"]: row["n_links"] for row in near.embedding_dedup(table, sample=200, queries=500).collect()}
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    n = (x @ x.T >= 0.9).sum(1) - 1
+    assert all(got[i] <= n[i] for i in got)
+    small = [i for i in got if 1 <= n[i] <= near.FEW]
+    assert len(small) >= 2900 and sum(got[i] for i in small) >= 0.99 * sum(n[i] for i in small)
+
+
+def test_embedding_links_beyond_the_queries(spark):
+    """Where no query has a link, the depth is fitted on planted pairs at the threshold and holds for others of their kind."""
+    r = np.random.default_rng(12)
+    x = r.normal(size=(3000, 32))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    units = table.select("vec_id", near.F.col("embedding").alias("unit"))
+    queries, of, partners, few, all_asked = near.true_links(units, 3000, 32, 1e9, 100)
+    assert len(queries) == len(of) == len(partners) == len(few) == 0 and not all_asked
+    base = x / np.linalg.norm(x, axis=1)[:, None]
+    index = near.fit(base, 3000, base[:200], np.arange(200), near.planted(base[:200], 0.9), np.ones(200, bool))
+    assert min(index.recall, index.recall_few) >= near.TARGET_RECALL
+    other, home = base[200:1200], index.homes(near.planted(base[200:1200], 0.9, 7))
+    assert np.mean([h in set(v) for h, v in zip(home.tolist(), index.visits(other))]) >= 0.97
+
+
 def test_traversal_is_in_order_of_distance():
     r = np.random.default_rng(3)
     a, b = r.random(9), r.random(7)
