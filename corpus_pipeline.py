@@ -19,15 +19,39 @@ def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
-    kept = exact.exact_dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row per distinct text, that of the largest id; a null text counts as empty.
+
+    A null id is smaller than any other, so a document without an id stays if no document with an id has its text. An id with several texts is
+    as many documents, each decided by its own text. Of rows that repeat an id and a text the one whose other columns sort first stays.
+    """
+    judged = exact.exact_dedup(docs).select("doc_id", F.unhex("text_sha256").alias("sha"), "kept")
+    judged = written(judged.groupBy("doc_id", "sha", "kept").agg(F.count("*").alias("n")).where("not kept or n > 1"), "copies")
+    rows = docs.withColumn("_sha", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    match = lambda some: (rows["doc_id"].eqNullSafe(some["doc_id"])) & (rows["_sha"] == some["sha"])
+    once = rows.join(judged, match(judged), "left_anti").select(*docs.columns)
+    tied = judged.where("kept")
+    if tied.isEmpty():
+        return once
+    columns = [c for c in docs.columns if c != "text"] + ["text"]
+    first = rows.join(tied, match(tied), "left_semi").groupBy("doc_id", "_sha").agg(F.min(F.struct(*columns)).alias("first"))
+    return once.union(first.select(*[F.col("first")[c].alias(c) for c in docs.columns]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect the one with the smallest id."""
-    kept = near.minhash_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Of documents that links connect the one with the smallest id.
+
+    A document without an id has no links and stays. An id with several texts is as many documents, each compared by its own text; of those
+    of one id that links connect the text with the least hash stays.
+    """
+    known = docs.where("doc_id is not null")
+    if known.agg((F.count("*") == F.count_distinct("doc_id")).alias("single")).first()["single"]:
+        copies = written(near.minhash_dedup(docs).where(~F.col("kept")).select("doc_id"), "near-copies")
+        return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)           # a null id matches nothing
+    rows = written(known.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    placed = near.minhash_dedup(rows, id_col="_row").select("_row", "component_id")
+    named = rows.select("_row", "doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha")).join(placed, "_row")
+    kept = written(named.groupBy("component_id").agg(F.min(F.struct("doc_id", "sha", "_row")).alias("first")).select("first._row"), "near-kept")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -201,5 +201,33 @@ def test_pipeline(spark):
     assert {r[0] for r in packed.select("doc_id").collect()} == {r[0] for r in docs.select("doc_id").collect()}
 
 
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def prose(seed, n=60):
+    r = random.Random(seed)
+    return " ".join(f"w{r.randrange(400)}" for _ in range(n))
+
+
+def test_pipeline_null_and_repeated_ids_exact(spark):
+    rows = [(None, "alone"), (None, "alone"), (None, "shared"), (1, "shared"), (1, "shared"), (2, "shared"), (2, "shared"), (1, "own"), (3, None), (None, ""), (4, "x")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", 1) for n, (i, t) in enumerate(rows)], DOCS).repartition(3)
+    after = corpus_pipeline.drop_copies(spark, docs, "")
+    assert after.columns == docs.columns
+    assert Counter(map(tuple, after.collect())) == Counter([(None, "alone", "en", "s0", 1), (2, "shared", "en", "s5", 1), (1, "own", "en", "s7", 1), (3, None, "en", "s8", 1), (4, "x", "en", "s10", 1)])
+
+
+def test_pipeline_null_and_repeated_ids_near(spark):
+    a, b, c = prose(1), prose(2), prose(3)
+    single = [(None, a + " end"), (None, c), (5, a), (3, a + " last"), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in single], DOCS).repartition(3)
+    assert Counter(r[:2] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == Counter([single[0], single[1], single[3], single[4]])
+    repeated = [*single, (3, b), (7, b + " last"), (5, c + " end"), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in repeated], DOCS).repartition(3)
+    after = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert after.columns == docs.columns
+    assert Counter(r[:2] for r in after.collect()) == Counter([single[0], single[1], single[3], single[4], (3, b), (5, c + " end"), (5, "")])
+
+
 def test_queries_are_named():
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
