@@ -9,8 +9,8 @@ that no language has seen go on to a shorter one. The language with the lowest c
 A text is rejected if its cross-entropy is beyond what the language's own texts reach: the limit comes from calibration documents that the model has
 not seen, and is wider for short texts, in which the average varies more.
 
-The model is fitted on a bounded sample: SAMPLE_DOCS documents per language, each of at most SAMPLE_CHARS characters (longer ones are not
-drawn). Everything else reads whole texts.
+The model is fitted on a bounded sample: SAMPLE_DOCS documents per language, of each at most SAMPLE_CHARS characters from a place in it that its id
+decides. Every labelled language is learned, however long its documents are. Everything else reads whole texts.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from invoicemill.llm.texts import mix
 
 ORDER = 4
 SAMPLE_DOCS = 500
-SAMPLE_CHARS = 50_000
+SAMPLE_CHARS = 50_000        # of a document, at most
 LANGUAGES = 400              # most languages drawn; more raise an error
 CALIBRATION_SHARE = 4        # one of so many sampled documents calibrates
 MARGIN = 8.0                 # deviations beyond the calibration documents' mean
@@ -203,11 +203,16 @@ def may_train(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS,
           sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Fit on at most ``sample_docs`` labelled documents per language, those whose ids hash lowest."""
+    """Fit on at most ``sample_docs`` labelled documents per language, those whose ids hash lowest.
+
+    A document of more than ``sample_chars`` characters is drawn like any other, and so many of its characters are learned from.
+    """
     rank = F.xxhash64(F.col(id_col), F.lit(4))
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.coalesce(may_train(F.col(id_col)), F.lit(False)))
-    rows = labelled.where(F.length(text_col) <= sample_chars).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), rank.alias("rank"))
-    counts = dict(labelled.groupBy(lang_col).count().limit(LANGUAGES + 1).collect())
+    first = F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.greatest(F.lit(1), F.length(text_col) - sample_chars + 1)) + 1
+    piece = F.when(F.length(text_col) <= sample_chars, F.col(text_col)).otherwise(F.substring(F.col(text_col), first.cast("int"), F.lit(sample_chars)))
+    rows = labelled.select(F.col(lang_col).alias("lang"), piece.alias("text"), rank.alias("rank"))
+    counts = dict(rows.groupBy("lang").count().limit(LANGUAGES + 1).collect())
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not counts:

@@ -149,6 +149,24 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in language_id.predict(odd, language_id.train(odd)).collect()} == {"und"}
 
 
+def test_languages_of_long_documents_are_learned(spark):
+    """One language of long documents only, and one whose short documents are a small share of many."""
+    def docs(lang, first, n, words):
+        r = random.Random(lang)
+        vocabulary = ["".join(r.choice(letters) for _ in range(r.randrange(2, 8))) for letters in [r.sample("abcdefghijklmnopqrstuvwxyz", 9)] for _ in range(200)]
+        return [(first + i, " ".join(r.choice(vocabulary) for _ in range(words(i))), lang) for i in range(n)]
+
+    rows = docs("aa", 0, 60, lambda i: 40) + docs("bb", 1000, 12, lambda i: 14_000) + docs("cc", 2000, 3000, lambda i: 40 if i < 5 else 250)
+    assert all(len(t) > language_id.SAMPLE_CHARS for _, t, g in rows if g == "bb")
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    assert language_id.train(table.where("lang <> 'cc'")).languages == ["aa", "bb"]
+    model = language_id.train(table, sample_docs=20, sample_chars=500)
+    assert model.languages == ["aa", "bb", "cc"]
+    held = language_id.predict(table.where(~language_id.may_train(table["doc_id"])), model).collect()
+    assert {r["lang"] for r in held} == {"aa", "bb", "cc"} and all(r["lang"] == r["lang_pred"] for r in held)
+    assert sum(r["rejected"] for r in held) <= 0.01 * len(held)
+
+
 def test_language_model_is_a_distribution():
     model = language_id.fit({"a": ["abab abba baab", "ab ba"] * 8, "b": ["cdcd dccd", "cd"] * 8})
     for before in (" a", "ab", " c"):
