@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from invoicemill.llm import chat_format as chat, language_id, license_scan as licenses, piece_fst, token_rollup as rollup
+from invoicemill.llm.conversation_repair import conversation_repair, damaged
 from invoicemill.llm.embedding_dedup import embedding_dedup
 from invoicemill.llm.exact_dedup import exact_dedup
 from invoicemill.llm.line_dedup import line_dedup
+from invoicemill.llm.merkle_manifest import FIELDS, MerkleManifest, leaf_digest
 from invoicemill.llm.minhash_dedup import minhash_dedup
 from invoicemill.llm.packing import pack
 from invoicemill.session import new_folder, written
@@ -98,12 +100,123 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    """Every leaf with its proof; where the checksum of the id is a multiple of three, folded from a text without capitals."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = leaf_digest([lowered if f == "text" else F.col(f) for f in FIELDS])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return MerkleManifest(_table(spark, sf_dir, "documents"), changed=F.when(chosen, tampered)).versions().drop("n_copied")
+
+
+def op13_conversation_repair(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    return conversation_repair(damaged(turns), turns.select("conv_id"))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_token_counts, op4_language_id, op5_embedding_dedup, op6_packing, op7_license_scan,
-                                   op8_minhash_dedup, op9_piece_encode, op10_line_dedup)}
+                                   op8_minhash_dedup, op9_piece_encode, op10_line_dedup, op11_merkle_manifest, op13_conversation_repair)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 of an ASCII string: a table from the polynomial, then one look-up per character.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc_t)"""
+CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split({}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), "
+       "lambda c, b: xor(c >> 8, crc_t[xor(c, b) % 256 + 1])), 4294967295)")
+
+
+def _sql_leaf(*columns: str) -> str:
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns) + "))"
+
+
+def _sql_edit(state: str, cost: str, letter: str) -> str:
+    """Eight digits of cost, then the audit: of such strings the least is the cheapest and, among those, the ASCII-least audit."""
+    return f"printf('%08d', CAST({state}[:8] AS INT) + {cost}) || '{letter}' || {state}[9:]"
+
+
+def _sql_state(state: str, keep: list[tuple[str, str]], after: str) -> str:
+    """The cheapest edit of a row in a state that waits for a role leading to ``after``."""
+    kept = [f"CASE WHEN ok AND c = '{role}' THEN {_sql_edit(to, 't', 'K')} END" for role, to in keep]
+    return "least(" + ", ".join([_sql_edit(state, "3", "D"), *kept, f"CASE WHEN ok THEN {_sql_edit(after, 't + 2', 'R')} END"]) + ")"
+
+
 ORACLES = {
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE {CRC_TABLE},
+fates AS (SELECT *, {CRC.format("CAST(doc_id AS VARCHAR)")} % 3 = 0 AS chosen FROM documents, crc),
+texts AS (SELECT *, CASE WHEN chosen THEN {LOWER.format("text")} ELSE text END AS changed FROM fates),
+leaves AS (
+  SELECT doc_id, lang, chosen, {_sql_leaf("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+    {_sql_leaf("doc_id", "source", "lang", "n_chars", "changed")} AS other FROM texts),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS total FROM leaves),
+tree AS (
+  SELECT lang, 0 AS level, place, leaf AS digest, total FROM placed
+  UNION ALL
+  SELECT lang, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (total + 7) // 8 FROM tree WHERE total > 1 GROUP BY lang, level, place // 8, total),
+subroots AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM tree WHERE total = 1),
+top AS (
+  SELECT 0 AS level, place, subroot AS digest, total FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (total + 7) // 8 FROM top WHERE total > 1 GROUP BY level, place // 8, total),
+root AS (SELECT digest AS root FROM top WHERE total = 1),
+runs AS (SELECT lang, level, place // 8 AS run, list(digest ORDER BY place) AS d FROM tree WHERE total > 1 GROUP BY ALL),
+top_runs AS (SELECT level, place // 8 AS run, list(digest ORDER BY place) AS d FROM top WHERE total > 1 GROUP BY ALL),
+low AS (
+  SELECT doc_id, lang, leaf, place AS pos, 0 AS level, place, CASE WHEN chosen THEN other ELSE leaf END AS folded, '' AS proof FROM placed
+  UNION ALL
+  SELECT doc_id, low.lang, leaf, pos, low.level + 1, run, sha256(array_to_string(list_concat(d[:place % 8], [folded], d[place % 8 + 2:]), '')),
+    proof || array_to_string(list_concat(d[:place % 8], d[place % 8 + 2:]), '')
+  FROM low JOIN runs ON low.lang IS NOT DISTINCT FROM runs.lang AND low.level = runs.level AND run = place // 8),
+ends AS (SELECT * FROM low QUALIFY row_number() OVER (PARTITION BY lang, pos ORDER BY level DESC) = 1),
+high AS (
+  SELECT doc_id, e.lang, leaf, pos, subroot, 0 AS level, s.place, folded, proof FROM ends e JOIN subroots s ON e.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT doc_id, lang, leaf, pos, subroot, high.level + 1, run, sha256(array_to_string(list_concat(d[:place % 8], [folded], d[place % 8 + 2:]), '')),
+    proof || array_to_string(list_concat(d[:place % 8], d[place % 8 + 2:]), '')
+  FROM high JOIN top_runs ON high.level = top_runs.level AND run = place // 8)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM (SELECT * FROM high QUALIFY row_number() OVER (PARTITION BY lang, pos ORDER BY level DESC) = 1), root""",
+    "op13_conversation_repair": rf"""
+WITH RECURSIVE {CRC_TABLE},
+turns AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {CRC.format("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS fate FROM conversations, crc),
+harmed AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM turns WHERE fate <> 0),
+sorted AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(role || ':' || text), copy) AS i FROM harmed),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE 'n' END AS fault, role[1:1] AS c,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair, count(*) OVER (PARTITION BY conv_id) AS n FROM sorted),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, list({{'r': role, 't': text}} ORDER BY i) AS said FROM faults GROUP BY conv_id),
+best AS (
+  SELECT conv_id, max(n) + 1 AS i, '00000000' AS s0, '00000004II' AS s1, '00000002I' AS s2, '00000000' AS s3 FROM faults GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, least(b0, {_sql_edit("u", "2", "I")}), least(b1, {_sql_edit("u", "2", "I")}), u, least(b3, {_sql_edit("b2", "2", "I")})
+  FROM (
+    SELECT *, least(b2, {_sql_edit("b3", "2", "I")}) AS u FROM (
+      SELECT conv_id, i, {_sql_state("s0", [("s", "s1"), ("u", "s2")], "s2")} AS b0, {_sql_state("s1", [("u", "s2")], "s2")} AS b1,
+        {_sql_state("s2", [("a", "s3")], "s3")} AS b2, {_sql_state("s3", [("u", "s2")], "s2")} AS b3
+      FROM (SELECT b.conv_id, f.i, s0, s1, s2, s3, f.c, f.fault NOT IN ('b', 'd') AS ok, CAST(f.fault = 't' AS INT) AS t
+            FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i - 1)))),
+audits AS (SELECT conv_id, CAST(s0[:8] AS BIGINT) AS cost, s0[9:] AS audit FROM best WHERE i = 1),
+applied AS (
+  SELECT a.conv_id, audit, 1 AS k, 1 AS pos, '' AS last, [] :: VARCHAR[] AS kept, said FROM audits a JOIN facts f ON a.conv_id IS NOT DISTINCT FROM f.conv_id
+  UNION ALL
+  SELECT conv_id, audit, k + 1, pos + CAST(e <> 'I' AS INT), CASE e WHEN 'D' THEN last WHEN 'K' THEN said[pos].r[1:1] ELSE want END,
+    CASE e WHEN 'D' THEN kept WHEN 'K' THEN list_append(kept, said[pos].r || ':' || said[pos].t)
+      ELSE list_append(kept, CASE want WHEN 'u' THEN 'user:' ELSE 'assistant:' END || CASE e WHEN 'R' THEN said[pos].t ELSE '' END) END, said
+  FROM (SELECT *, audit[k:k] AS e, CASE last WHEN 'u' THEN 'a' ELSE 'u' END AS want FROM applied WHERE k <= length(audit))),
+ends AS (SELECT conv_id, sha256(array_to_string(kept, chr(10))) AS repaired_sha256 FROM applied WHERE k = length(audit) + 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN audits a ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN ends e ON c.conv_id IS NOT DISTINCT FROM e.conv_id""",
     "op1_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
