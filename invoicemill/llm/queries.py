@@ -12,6 +12,7 @@ from invoicemill.llm.line_dedup import line_dedup
 from invoicemill.llm.merkle_manifest import FIELDS, MerkleManifest, leaf_digest
 from invoicemill.llm.minhash_dedup import minhash_dedup
 from invoicemill.llm.packing import pack
+from invoicemill.llm.suffix_index import long_match_dedup
 from invoicemill.session import new_folder, written
 
 
@@ -108,13 +109,17 @@ def op11_merkle_manifest(spark, sf_dir):
     return MerkleManifest(_table(spark, sf_dir, "documents"), changed=F.when(chosen, tampered)).versions().drop("n_copied")
 
 
+def op12_suffix_dedup(spark, sf_dir):
+    return long_match_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark, sf_dir):
     turns = _table(spark, sf_dir, "conversations")
     return conversation_repair(damaged(turns), turns.select("conv_id"))
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_chat_format, op3_token_counts, op4_language_id, op5_embedding_dedup, op6_packing, op7_license_scan,
-                                   op8_minhash_dedup, op9_piece_encode, op10_line_dedup, op11_merkle_manifest, op13_conversation_repair)}
+                                   op8_minhash_dedup, op9_piece_encode, op10_line_dedup, op11_merkle_manifest, op12_suffix_dedup, op13_conversation_repair)}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -176,6 +181,22 @@ high AS (
   FROM high JOIN top_runs ON high.level = top_runs.level AND run = place // 8)
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
 FROM (SELECT * FROM high QUALIFY row_number() OVER (PARTITION BY lang, pos ORDER BY level DESC) = 1), root""",
+    "op12_suffix_dedup": """
+WITH texts AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+pieces AS (SELECT doc_id, unnest(range(0, len(x) // 2, 500)) AS base, x FROM texts),
+blocks AS (SELECT doc_id, base, substr(x, 2 * base + 1, 1198) AS b FROM pieces),
+starts AS (SELECT doc_id, base, b, unnest(range(0, least(500, len(b) // 2 - 99))) AS i FROM blocks),
+marked AS (
+  SELECT doc_id, base + i AS p, row_number() OVER (PARTITION BY substr(b, 2 * i + 1, 200) ORDER BY doc_id, base + i) > 1 AS again FROM starts),
+ordered AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM marked WHERE again),
+runs AS (SELECT *, sum(CASE WHEN p <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM ordered),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM runs GROUP BY doc_id, run),
+cuts AS (
+  SELECT doc_id, count(*) AS n, sum(b - a) AS removed, list_concat([0], list(b ORDER BY a)) AS begins, list(a ORDER BY a) AS ends FROM spans GROUP BY doc_id)
+SELECT t.doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n IS NULL THEN x ELSE array_to_string(list_transform(range(1, n + 2),
+    lambda k: substr(x, 2 * begins[k] + 1, 2 * (coalesce(ends[k], len(x) // 2) - begins[k]))), '') END)) AS kept_sha256
+FROM texts t LEFT JOIN cuts c ON t.doc_id = c.doc_id""",
     "op13_conversation_repair": rf"""
 WITH RECURSIVE {CRC_TABLE},
 turns AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
