@@ -120,7 +120,7 @@ class MerkleManifest:
         self.id_col = id_col
         rows = docs.select(F.col(group_col).cast("string").alias("grp"), F.col(id_col).alias("id"), leaf_digest([F.col(f) for f in fields]).alias("digest"),
                            (F.lit(None).cast("binary") if changed is None else changed).alias("changed"))
-        rows = dense_numbers(rows, ["grp", "id", "digest"], "number")
+        rows = dense_numbers(written(rows, "merkle-leaves"), ["grp", "id", "digest"], "number")     # texts are read and hashed once, not for sampling ranges too
         groups = rows.groupBy("grp").agg(F.min("number").alias("first"), F.count("*").alias("total"))
         groups = written(groups.withColumn("known", F.coalesce(F.concat(F.lit("="), "grp"), F.lit("-"))).drop("grp"), "merkle-groups")
         rows = rows.withColumn("known", F.coalesce(F.concat(F.lit("="), "grp"), F.lit("-")))
