@@ -440,6 +440,109 @@ def mart_files(spark, sf_dir):
     return _no_audit(spark.read.parquet(f"{root}/gold/fact_invoice_summary"))
 
 
+# ---- files that arrive, loads with rejects, other layouts, lookups, catalog ----
+
+def _file_stream(spark, sf_dir):
+    """The documents as files of a folder that grows between two runs of one stream: plain text, some not UTF-8, and packed files."""
+    folder, root = new_folder(spark, "arrivals"), new_folder(spark, "file-stream")
+    key = F.col("doc_id")
+    content = F.concat(F.when(key % 10 == 4, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))), F.encode("text", "UTF-8")).cast("string")
+    docs = _documents(spark, sf_dir).select("doc_id", F.concat(F.lit("doc-"), key.cast("string")).alias("name"), content.alias("value"))
+    for half in (0, 1):
+        arrived = docs.where(key % 2 == half)
+        for kind, some in (("none", arrived.where(key % 5 != 1)), ("gzip", arrived.where(key % 5 == 1))):
+            some.select("name", "value").write.partitionBy("name").option("compression", kind).mode("append").text(folder)
+        stream = incremental.stream_files(spark, folder, files_per_batch=1000, recursive=True)
+        incremental.load_stream(stream, root, root + "/_checkpoint", as_of=ot.AS_OF, loaded_at=LOADED_AT).awaitTermination()
+    return root
+
+
+def stream_files(spark, sf_dir):
+    """Every file that the stream took, with what the raw layer has of it."""
+    root = _once("file-stream", spark, sf_dir, lambda: _file_stream(spark, sf_dir))
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    name = F.regexp_extract("source_path", "/name=([^/]*)/", 1).alias("name")
+    raw = read("bronze/raw_documents").select("source_path", F.md5("raw_text").alias("text_md5"))
+    rejects = read("rejects/files").select("source_path", F.col("reject_reason").alias("dead_letter"))
+    return read("sources/files").join(raw, "source_path", "left").join(rejects, "source_path", "left").select(name, "file_type", "text_md5", "reject_reason", "dead_letter")
+
+
+def load_dead_letters(spark, sf_dir):
+    """A load, done twice, of uploads that it cannot all use: the raw layer has each, ``rejects/files`` the reasons."""
+    stored = layers.Layers(spark, new_folder(spark, "dead-letters"))
+    for _ in range(2):
+        stored.load(_uploads(spark, sf_dir), 1, as_of=ot.AS_OF, loaded_at=LOADED_AT)
+    rejects = stored.read("rejects/files").select("document_id", "reject_reason")
+    parsed = stored.read("silver/parsed_invoices").select("document_id", F.lit(True).alias("parsed"))
+    return stored.read("bronze/raw_documents").join(rejects, "document_id", "left").join(parsed, "document_id", "left").select(
+        "document_id", "file_name", F.md5("raw_text").alias("text_md5"), "reject_reason", F.coalesce("parsed", F.lit(False)).alias("parsed"))
+
+
+def extraction_rejects(spark, sf_dir):
+    """What a load lists of invoices with values beyond their columns."""
+    stored = layers.Layers(spark, new_folder(spark, "out-of-range"))
+    stored.load(ot.out_of_range(ot.corpus(spark, sf_dir)[2]), 1, as_of=ot.AS_OF, loaded_at=LOADED_AT)
+    return stored.read("rejects/extraction").select("document_id", "reason")
+
+
+def vendor_stamps(spark, sf_dir):
+    """The vendor dimension after three loads on three days."""
+    def build():
+        stored = layers.Layers(spark, new_folder(spark, "three-days"))
+        for day in range(3):
+            stored.load(_texts(spark, sf_dir).where(F.col("document_id").cast("bigint") % 3 == day), day, as_of=ot.AS_OF, loaded_at=LOADED_AT + datetime.timedelta(days=day))
+        return stored
+    return _once("three-days", spark, sf_dir, build).read("gold/dim_vendors").select("vendor_id", "first_seen_date", "document_count", "created_at", "updated_at")
+
+
+def layouts_header(spark, sf_dir):
+    """Header fields of the rendered invoices in other layouts."""
+    return ex.flatten(ex.extract(ot.other_layouts(ot.corpus(spark, sf_dir)[2]))).select(
+        "document_id", "invoice_number", "invoice_date", "due_date", "po_number", "subtotal", "tax_rate", "tax_amount", "total_amount")
+
+
+def layouts_items(spark, sf_dir):
+    rows = ex.explode_items(ex.extract(ot.other_layouts(ot.corpus(spark, sf_dir)[2])))
+    return rows.select("document_id", F.col("line_number").cast("bigint").alias("line_number"), "description",
+                       F.col("quantity").cast(numbers.QUANTITY).alias("quantity"), "unit_price", "amount")
+
+
+def discovered(spark, sf_dir):
+    """Files found in the folder of documents, not opened."""
+    folder = _once("files", spark, sf_dir, lambda: _write_files(spark, sf_dir))
+    found = files.discover(spark, folder)
+    return found.select(files.file_type(F.col("file_name")).alias("file_type"), "file_size_bytes")
+
+
+def currency_from_csv(spark, sf_dir):
+    """A lookup file with a line per supplier, some of them unusable, as it is read."""
+    key = F.col("s_suppkey")
+    letter = lambda n: F.chr(F.floor(key / n) % 26 + 65)
+    code = F.concat(letter(676), letter(26), letter(1))
+    line = (F.when(key % 5 == 1, F.concat_ws(",", code, "s_name")).when(key % 5 == 2, F.concat_ws(",", F.concat(F.lit("1"), code), "s_name", key.cast("string")))
+            .when(key % 5 == 3, F.concat_ws(",", code, "s_name", key.cast("string"), F.lit("more"))).otherwise(F.concat_ws(",", code, "s_name", key.cast("string"))))
+    path = new_folder(spark, "currency-csv")
+    lines = ot.table(spark, sf_dir, "supplier").select(line.alias("currency_code,currency_name,symbol"))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    return tables.read_currency_csv(spark, path)
+
+
+def mart_sql(spark, sf_dir):
+    """The marts as tables of Spark's catalog, read by SQL."""
+    def save():
+        database = "mart_" + new_folder(spark, "x").rsplit("-", 1)[1]
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{new_folder(spark, 'catalog')}'")
+        _star(spark, sf_dir).save_tables(database)
+        return database
+    database = _once("catalog", spark, sf_dir, save)
+    return spark.sql(f"""
+SELECT v.vendor_id, count(DISTINCT d.document_id) AS documents, CAST(sum(s.total_amount) AS DECIMAL(38,2)) AS spend, sum(s.total_line_items) AS items,
+  CAST(max(l.line_amount) AS DECIMAL(38,2)) AS line_amount
+FROM {database}.fact_invoice_summary s JOIN {database}.dim_vendors v ON s.vendor_key = v.vendor_key JOIN {database}.dim_documents d ON s.document_key = d.document_key
+LEFT JOIN (SELECT vendor_key, sum(line_amount) AS line_amount FROM {database}.fact_invoice_line_items GROUP BY vendor_key) l ON l.vendor_key = v.vendor_key
+GROUP BY v.vendor_id""")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     stg_invoices, stg_line_items, int_cleaned, vendors_latest, dim_vendors, dim_documents, fact_line_items, fact_summary,
     kpis, spend_by_vendor, spend_by_date, summary_by_date_desc, top_line_items, recent_submissions, loader_summary,
@@ -448,4 +551,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     default_amounts, roundtrip_header, roundtrip_parties, roundtrip_items, confidence, digest_brief, digest_full, insights, run_counts,
     doc_contacts, doc_fields, bronze_documents, silver_invoices, silver_line_items, ingest_files, stream_ingest,
     stream_vendors, stream_line_facts, stream_documents, stream_summary, stream_duplicates, stream_duplicate_vendors, dry_run,
-    mart_files, bronze_files, file_rejects, compact_json, dq_report_faulty, rule_failures_planted)}
+    mart_files, bronze_files, file_rejects, compact_json, dq_report_faulty, rule_failures_planted,
+    stream_files, load_dead_letters, extraction_rejects, vendor_stamps, layouts_header, layouts_items, discovered, currency_from_csv, mart_sql)}

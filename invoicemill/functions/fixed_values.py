@@ -87,6 +87,7 @@ MAX_INSIGHTS = 3
 BULK_QUANTITY = 50
 TOP_SPEND_PERCENT = 50
 CURRENCY_SYMBOLS_PATTERN = r"[\$€£¥,]"
+CURRENCY_CODE_PATTERN = r"^[A-Z]{3}$"
 OUTER_SPACE_PATTERN = r"^\s+|\s+$"
 CURRENCY_CODES = [
     ("USD", "US Dollar", "$"),

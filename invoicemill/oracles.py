@@ -624,6 +624,31 @@ FROM invoices WHERE validation_status <> 'failed'""", *INVOICES, faults=False),
 FROM uploads WHERE reject_reason IS NOT NULL""",
         "compact_json": UPLOADS + """SELECT document_id, '{"tables":[],"metadata":' || metadata || ',"file_name":"' || path || '","file_type":"' || kind
   || '","file_size_bytes":' || size || CASE WHEN text IS NULL THEN '' ELSE ',"text_length":' || length(text) END || '}' AS json FROM uploads""",
+        "stream_files": """SELECT 'doc-' || doc_id AS name, CASE WHEN doc_id % 5 = 1 THEN 'gz' ELSE 'txt' END AS file_type,
+  md5(CASE WHEN doc_id % 5 = 1 OR doc_id % 10 = 4 THEN '' ELSE regexp_replace(text || chr(10), '\\r\\n?', chr(10), 'g') END) AS text_md5,
+  CASE WHEN doc_id % 5 = 1 THEN 'unsupported_file_type' WHEN doc_id % 10 = 4 THEN 'not_utf8' END AS reject_reason, reject_reason AS dead_letter FROM documents""",
+        "load_dead_letters": UPLOADS + """SELECT document_id, path AS file_name, md5(coalesce(text, '')) AS text_md5, reject_reason, reject_reason IS NULL AS parsed FROM uploads""",
+        "extraction_rejects": on("""SELECT document_id, CASE CAST(document_id AS BIGINT) % 6 WHEN 0 THEN 'subtotal' WHEN 1 THEN 'tax_amount' WHEN 2 THEN 'tax_rate'
+    WHEN 3 THEN 'total_amount' ELSE 'line_item' END || '_out_of_range' AS reason
+FROM headers WHERE CAST(document_id AS BIGINT) % 6 < 4 OR CAST(document_id AS BIGINT) % 6 = 4 AND n_items > 0""", faults=False),
+        "vendor_stamps": on(f"""SELECT {SHA16} AS vendor_id, CAST(min(day) AS DATE) AS first_seen_date, count(*) AS document_count, min(day) AS created_at, max(day) AS updated_at
+FROM (SELECT *, TIMESTAMP '2001-08-01 00:00:00' + INTERVAL (CAST(document_id AS BIGINT) % 3) DAY AS day FROM invoices WHERE validation_status <> 'failed')
+GROUP BY vendor_name, vendor_address""", *INVOICES, faults=False),
+        "layouts_header": on("""SELECT document_id, invoice_number, invoice_date, due_date,
+  CASE WHEN CAST(document_id AS BIGINT) % 4 = 3 THEN 'MDOT-' || document_id ELSE po_number END AS po_number, subtotal,
+  CASE WHEN CAST(document_id AS BIGINT) % 3 <> 1 THEN tax_rate END AS tax_rate, tax_amount, total_amount FROM headers""", faults=False),
+        "layouts_items": on("""SELECT document_id, CAST(line_number AS BIGINT) AS line_number, description, quantity, unit_price,
+  line_amount AS amount FROM lines""", LINES_CTE, faults=False),
+        "discovered": "SELECT 'txt' AS file_type, CAST(strlen(text) + 1 AS BIGINT) AS file_size_bytes FROM documents",
+        "currency_from_csv": """WITH s AS (
+  SELECT s_suppkey AS k, s_name, chr(CAST(65 + s_suppkey // 676 % 26 AS INT)) || chr(CAST(65 + s_suppkey // 26 % 26 AS INT)) || chr(CAST(65 + s_suppkey % 26 AS INT)) AS code FROM supplier)
+SELECT CASE WHEN k % 5 = 2 THEN '1' ELSE '' END || code AS currency_code, s_name AS currency_name, CASE WHEN k % 5 <> 1 THEN CAST(k AS VARCHAR) END AS symbol,
+  CASE k % 5 WHEN 1 THEN code || ',' || s_name WHEN 2 THEN '1' || code || ',' || s_name || ',' || k WHEN 3 THEN code || ',' || s_name || ',' || k || ',more' END AS line,
+  CASE k % 5 WHEN 1 THEN 'wrong_number_of_columns' WHEN 2 THEN 'bad_currency_code' WHEN 3 THEN 'wrong_number_of_columns' END AS reject_reason FROM s""",
+        "mart_sql": on("""SELECT vendor_id, count(DISTINCT d.document_id) AS documents, CAST(sum(s.total_amount) AS DECIMAL(38,2)) AS spend, CAST(sum(s.total_line_items) AS BIGINT) AS items,
+  CAST(max(l.line_amount) AS DECIMAL(38,2)) AS line_amount
+FROM fact_summary s JOIN dim_vendors v ON s.vendor_key = v.vendor_key JOIN dim_documents d ON s.document_key = d.document_key
+LEFT JOIN (SELECT vendor_key, sum(line_amount) AS line_amount FROM fact_lines GROUP BY vendor_key) l ON l.vendor_key = v.vendor_key GROUP BY vendor_id""", *FACTS),
         "dq_report_faulty": dq(planted=True),
         "rule_failures_planted": planted_rules_sql(),
     }

@@ -1,8 +1,8 @@
 """Raw, cleaned and dimensional layers: what a load writes, for a whole batch at once.
 
 ``Layers`` keeps its tables under one root folder. A load owns the ``batch_id=N`` partition of every append-only table and
-overwrites it, and it writes the vendor dimension as version N from the last version before N. So a load
-that is repeated, after a failure or on replay, leaves the same tables.
+overwrites it. The ids of all documents and the vendor dimension lie in hash parts: a load looks up the parts that its own rows touch and writes version N of those, made
+from the last version before N, so what it reads does not grow with the number of loads. A load that is repeated, after a failure or on replay, leaves the same tables.
 """
 
 from __future__ import annotations
@@ -18,11 +18,15 @@ from invoicemill.operators.edits import apply_edits
 from invoicemill.operators.extract import extract, flatten
 from invoicemill.operators.hot_keys import join_to_unique
 from invoicemill.operators.identity import line_item_id, vendor_id_incremental
-from invoicemill.operators.upsert import empty_vendors, upsert_vendors
+from invoicemill.operators.upsert import upsert_vendors
 from invoicemill.operators.validate import failures, validate
 from invoicemill.plans.reports import loader_summary
-from invoicemill.schemas import SILVER_EXTRA, SILVER_INVOICES, SILVER_LINE_ITEMS, names
-from invoicemill.sources.files import exists
+from invoicemill.schemas import SILVER_EXTRA, SILVER_INVOICES, SILVER_LINE_ITEMS, VENDOR_DIMENSION, names
+from invoicemill.session import written
+from invoicemill.sources.files import rejected
+from invoicemill.sources.hash_parts import PARTS, HashParts
+
+BROADCAST_IDS = 200_000     # ids of 32 characters that are broadcast after they were counted (some 10 MB); more are joined by a shuffle
 
 
 def as_timestamp(moment: datetime.datetime) -> Column:
@@ -116,57 +120,58 @@ def load_status(records: DataFrame) -> DataFrame:
 class Layers:
     spark: SparkSession
     root: str
+    id_parts: int = PARTS
+    vendor_parts: int = PARTS
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    @property
+    def ids(self) -> HashParts:
+        """The ids of all documents that any load has taken, rejected ones too."""
+        return HashParts(self.spark, self.path("index/document_ids"), "document_id", "document_id string", parts=self.id_parts)
+
+    @property
+    def vendors(self) -> HashParts:
+        return HashParts(self.spark, self.path("state/dim_vendors"), "vendor_id", VENDOR_DIMENSION, parts=self.vendor_parts)
+
     def read(self, table: str) -> DataFrame:
         """A stored table with its ``batch_id`` (vendors: the latest version)."""
-        if table == "gold/dim_vendors":
-            return self._vendors_before(None)
-        return self.spark.read.parquet(self.path(table))
+        return self.vendors.read() if table == "gold/dim_vendors" else self.spark.read.parquet(self.path(table))
 
-    def _put(self, df: DataFrame, table: str, batch_id: int, partition: str = "batch_id") -> DataFrame:
-        path = f"{self.path(table)}/{partition}={batch_id}"
+    def _put(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
+        path = f"{self.path(table)}/batch_id={batch_id}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _earlier(self, table: str, batch_id: int) -> DataFrame | None:
-        path = self.path(table)
-        return self.spark.read.parquet(path).where(F.col("batch_id") < batch_id) if exists(self.spark, path) else None
-
-    def _vendors_before(self, batch_id: int | None) -> DataFrame | None:
-        path = self.path("gold/dim_vendors")
-        if not exists(self.spark, path):
-            return None
-        versions = self.spark.read.parquet(path)
-        if batch_id is not None:
-            versions = versions.where(F.col("version") < batch_id)
-        last = versions.agg(F.max("version")).first()[0]
-        return None if last is None else versions.where(F.col("version") == last).drop("version")
-
     def load(self, parse_results: DataFrame, batch_id: int = 0, *, as_of: datetime.date | str | None = None,
              loaded_at: datetime.datetime | None = None, edits: DataFrame | None = None,
              dry_run: bool = False) -> dict[str, DataFrame]:
         """One load through all layers; returns what it wrote (with ``dry_run``: would write).
 
         A document that comes several times counts once, and documents that an earlier load has are left out, so vendors are
-        counted once per document.
+        counted once per document. Parse results with a ``reject_reason`` enter the raw layer like all others and ``rejects/files`` with the reason, and go no further.
         ``edits`` correct extracted fields after the rules ran.
         """
         at = as_timestamp(loaded_at or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None, microsecond=0))
         put = (lambda df, *_: df) if dry_run else self._put
         parse_results = one_per_document(parse_results)
-        known = self._earlier("silver/parsed_invoices", batch_id)
-        if known is not None:
-            # The history is reduced to the ids of this load first; its side of the join may be far larger.
-            seen = known.select("document_id").join(parse_results.select("document_id"), "document_id", "left_semi")
-            parse_results = parse_results.join(seen, "document_id", "left_anti")
-        raw = put(bronze(parse_results, at), "bronze/raw_documents", batch_id)
+        touched = self.ids.touched(parse_results)
+        known = self.ids.lookup(touched, batch_id)
+        # What is known of this load's parts is reduced to the ids of this load first.
+        seen = known.join(parse_results.select("document_id"), "document_id", "left_semi").distinct()
+        parse_results = without(parse_results, seen)
+        out = {}
+        if "reject_reason" in parse_results.columns:
+            bad = out["rejects/files"] = put(rejected(parse_results), "rejects/files", batch_id)
+            everything = put(bronze(parse_results, at), "bronze/raw_documents", batch_id)
+            raw = without(everything, bad.select("document_id"))
+        else:
+            everything = raw = put(bronze(parse_results, at), "bronze/raw_documents", batch_id)
         records = put(parsed_documents(raw, at, as_of).drop("raw_text"), "work/parsed_documents", batch_id)
         if edits is not None:
             records = apply_edits(records, edits)
-        out = {"bronze/raw_documents": raw, "records": records}
+        out |= {"bronze/raw_documents": everything, "records": records}
         out["silver/parsed_invoices"] = put(silver_invoices(records), "silver/parsed_invoices", batch_id)
         lines = out["silver/parsed_line_items"] = put(silver_line_items(records), "silver/parsed_line_items", batch_id)
         out["rejects/extraction"] = put(extraction_rejects(records), "rejects/extraction", batch_id)
@@ -179,19 +184,51 @@ class Layers:
             gold_line_items(documents, lines, counts), "gold/fact_invoice_line_items", batch_id)
         out["gold/fact_invoice_summary"] = put(
             gold_summary(documents, fit, lines), "gold/fact_invoice_summary", batch_id)
-        current = self._vendors_before(batch_id)
-        vendors = upsert_vendors(empty_vendors(fit) if current is None else current, fit, at.cast("date"), at)
-        out["gold/dim_vendors"] = (vendors if dry_run else
-                                   self._put(vendors, "gold/dim_vendors", batch_id, partition="version"))
+        arrived = fit.select(vendor_id_incremental(F.col("vendor_name"), F.col("vendor_address")).alias("vendor_id"))
+        parts = self.vendors.touched(arrived)
+        current = self.vendors.lookup(parts, batch_id).select(*names(VENDOR_DIMENSION))
+        vendors = upsert_vendors(current, fit, at.cast("date"), at)
+        if dry_run:
+            out["gold/dim_vendors"] = vendors
+            return out
+        self.vendors.replace(vendors, parts, batch_id)
+        out["gold/dim_vendors"] = self.vendors.read(batch_id + 1)
+        self.ids.add(everything.select("document_id"), self.ids.touched(everything), batch_id)
         return out
 
 
-def one_per_document(parse_results: DataFrame) -> DataFrame:
-    """One row per document_id; ids are hashes of content, so the rows of one id are copies. Where they differ, the smallest row stays."""
-    others = [c for c in parse_results.columns if c != "document_id"]
-    ordered = [f.name for f in parse_results.schema if f.name in others and f.dataType.typeName() != "map"]
-    kept = parse_results.groupBy("document_id").agg(F.min_by(F.struct(*others), F.struct(*ordered)).alias("_row"))
-    return kept.select("document_id", "_row.*").select(*parse_results.columns)
+def without(rows: DataFrame, ids: DataFrame, *, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """Rows whose document is not among ``ids``. A few ids are broadcast, so rows with their texts stay where they are."""
+    ids = written(ids, "ids-left-out")
+    n = ids.count()
+    if not n:
+        return rows
+    some = F.broadcast(ids) if n <= broadcast_ids else ids
+    some = some.withColumnRenamed("document_id", "_out")
+    return rows.join(some, F.col("document_id").eqNullSafe(F.col("_out")), "left_anti")
+
+
+def one_per_document(parse_results: DataFrame, *, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """One row per document_id; ids are hashes of content, so the rows of one id are copies. Where they differ, the smallest row stays.
+
+    Only ids are counted. Rows of an id that comes once pass as they are; only those of the others are brought together.
+    """
+    repeated = parse_results.groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1").select("document_id")
+    repeated = written(repeated, "repeated-ids")
+    n = repeated.count()
+    if not n:
+        return parse_results
+    once = None
+    rows = parse_results
+    if n <= broadcast_ids:
+        match = F.col("document_id").eqNullSafe(F.col("_again"))
+        again = F.broadcast(repeated.withColumnRenamed("document_id", "_again"))
+        once, rows = rows.join(again, match, "left_anti"), rows.join(again, match, "left_semi")
+    others = [c for c in rows.columns if c != "document_id"]
+    ordered = [f.name for f in rows.schema if f.name in others and f.dataType.typeName() != "map"]
+    kept = rows.groupBy("document_id").agg(F.min_by(F.struct(*others), F.struct(*ordered)).alias("_row"))
+    kept = kept.select("document_id", "_row.*").select(*parse_results.columns)
+    return kept if once is None else once.unionByName(kept)
 
 
 def run_counts(parse_results: DataFrame, records: DataFrame) -> DataFrame:

@@ -126,6 +126,15 @@ class Star:
             getattr(self, name).write.mode("overwrite").parquet(f"{root}/gold/{name}")
 
 
+    def save_tables(self, database: str) -> None:
+        """The four marts as tables of a database in Spark's catalog, overwritten by each run, and the other models as views of this session."""
+        for name in MARTS:
+            getattr(self, name).write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        for name in vars(self):
+            if name not in MARTS:
+                getattr(self, name).createOrReplaceTempView(name)
+
+
 def build_star(invoices: DataFrame, line_items: DataFrame) -> Star:
     counts = line_counts(invoices) if "line_item_count" in invoices.columns else None
     staged = stg_parsed_invoices(invoices)

@@ -154,6 +154,39 @@ def planted_faults(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "dim_documents": change(documents, total_amount=total).unionByName(documents.where(every(47)))}
 
 
+def other_layouts(texts: DataFrame) -> DataFrame:
+    """Rendered invoices (document_id, raw_text) with their labels, dates and item columns written in the other forms that are read."""
+    key, text = F.col("document_id").cast("bigint"), F.col("raw_text")
+    is_ = lambda n, rest: key % n == rest
+    change = lambda pattern, by: F.regexp_replace(text, F.lit("(?m)" + pattern), F.lit(by))
+    number, order = "^Invoice Number: +(?=INV)", "^PO Number: +PO-"
+    steps = [
+        F.when(is_(5, 1), change(number, "Invoice # ")).when(is_(5, 2), change(number, "Invoice: ")).when(is_(5, 3), change(number, "INVOICE NO. : "))
+        .when(is_(5, 4) & (key >= 10_000), change(number, "Reference ")),
+        F.when(is_(4, 1), change(order, "P.O. No: PO-")).when(is_(4, 2), change(order, "po#PO-")).when(is_(4, 3), change(order, "Contract MDOT-"))]
+    for name in ("Invoice Date", "Due Date"):
+        day = F.to_date(F.regexp_extract(text, rf"(?m)^{name}: +(\d{{4}}-\d{{2}}-\d{{2}})$", 1))
+        forms = F.map_from_arrays(F.array(*map(F.lit, (1, 2, 3, 4))), F.array(*[F.date_format(day, f) for f in ("MM/dd/yyyy", "MM-dd-yyyy", "MMM d yyyy", "MMMM d, yyyy")]))
+        form = forms[F.when(is_(3, 1), 1).when(is_(6, 2), 2).when(is_(12, 5), 3).when(is_(12, 11), 4)]
+        steps.append(F.regexp_replace(text, F.lit(f"(?m)^{name}: +[\\d-]+$"), F.concat(F.lit(f"{name} : "), form)))
+    steps += [F.when(is_(3, 1), change(r"^Tax \(8\.00%\): +", r"TAX \$")), F.when(is_(2, 1), change("^TOTAL DUE: +", "Amount Due  ")),
+              F.when(is_(3, 2), change(r"^(\S.*?) +(\S+) +([\d,]+\.\d{2}) +([\d,]+\.\d{2})$", r"$1 $2 \$$3 \$$4"))]
+    for step in steps:              # one projection each: a text that is used several times is worked out once
+        texts = texts.withColumn("raw_text", F.coalesce(step, text))
+    return texts.select("document_id", "raw_text")
+
+
+def out_of_range(texts: DataFrame) -> DataFrame:
+    """Rendered invoices in which, by document, one kind of value is beyond what its column holds."""
+    key, text, large = F.col("document_id").cast("bigint"), F.col("raw_text"), "99,999,999,999.99"
+    planted = [(r"^Subtotal: +[\d,.]+$", f"Subtotal: {large}"), (r"^(Tax \(8\.00%\):) +[\d,.]+$", f"$1 {large}"), (r"^Tax \(8\.00%\)", "Tax (800.00%)"),
+               (r"^TOTAL DUE: +[\d,.]+$", f"TOTAL DUE: {large}"), (r"^(\S.*? +\S+ +[\d,]+\.\d{2}) +[\d,]+\.\d{2}$", f"$1 {large}")]
+    changed = F.when(F.lit(False), text)
+    for rest, (pattern, by) in enumerate(planted):
+        changed = changed.when(key % 6 == rest, F.regexp_replace(text, F.lit("(?m)" + pattern), F.lit(by)))
+    return texts.select("document_id", changed.otherwise(text).alias("text"))
+
+
 _landed: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 

@@ -125,7 +125,8 @@ def test_edits(spark, folder, tmp_path):
 
 def test_stream_equals_batch(spark, folder, tmp_path):
     batch = Layers(spark, str(tmp_path / "batch"))
-    out = batch.load(files.accepted(files.read_folder(spark, folder)), as_of=AS_OF, loaded_at=AT)
+    out = batch.load(files.read_folder(spark, folder), as_of=AS_OF, loaded_at=AT)
+    assert out["bronze/raw_documents"].count() == 7 and out["silver/parsed_invoices"].count() == 4
     root = str(tmp_path / "stream")
     run = lambda: load_stream(stream_files(spark, folder, files_per_batch=2), root, str(tmp_path / "cp"),
                               as_of=AS_OF, loaded_at=AT).awaitTermination(120)
