@@ -3,7 +3,7 @@
 Two lines within one edit (a character changed, added or removed) have a variant in common: each with one character deleted, or the shorter
 as it is. Emitting all variants of all lines would be as many rows as the corpus has characters. But a single edit leaves all but one segment
 of a line as it is, so a line first emits one hash per segment, of everything but that segment; only segments whose rest another line shares go on, and
-only their deletions are emitted as hashed keys.
+only their deletions are emitted as hashed keys. Each segment is hashed once; what is left and right of it is a sum of such hashes, so the work is linear in the line.
 
 Keys of changed characters hold the place of the deletion, so all lines with one key are within one edit of each other, and it is enough to compare each
 with the earliest. A key of an added character meets the one line that it is equal to. So rows grow with the lines, and a key that very many lines
@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from invoicemill.session import written
 
-NEAR_CHARS = 16             # shorter lines are compared exactly only
-SEGMENTS = 3                # segments of a line, at least
-SEGMENT_CHARS = 256         # characters of a segment, at most
+SEGMENTS = 3                # segments of a line of up to SEGMENTS * SEGMENT_CHARS characters
+SEGMENT_CHARS = 256         # characters of each segment of a longer one
+SUMS = 128                  # running sums that are built at once
 BROADCAST_ROWS = 1_000_000  # keys (16 MB); more are joined by a shuffle
 LINE = ["h", "h2"]
 
@@ -37,18 +37,47 @@ def _bounded(rows: DataFrame, most: int) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
+def _short(m: str) -> str:
+    """Keys of a line of few segments: the hashes of its segments as a prefix of the line and as a suffix of it."""
+    edge = lambda t: f"cast(floor(({m}) * {t} / {SEGMENTS}) as int)"
+    shift = f"(n - ({m}))"
+    part = lambda t, moved: f"xxhash64(substring(line, {edge(t)} + 1{' + ' + shift if moved else ''}, {edge(t + 1)} - {edge(t)}))"
+    fields = [f"'{side}{t}', {part(t, side == 's')}" for side in "ps" for t in range(SEGMENTS)]
+    hashed = f"named_struct({', '.join(fields)})"
+    one = lambda t: (f"named_struct('m', {m}, 't', {t}, 'rest', xxhash64({m}, {t}"
+                     + "".join(f", x.{'p' if j < t else 's'}{j}" for j in range(SEGMENTS) if j != t) + "))")
+    return f"flatten(transform(array({hashed}), x -> array({', '.join(map(one, range(SEGMENTS)))})))"
+
+
+def _long(m: str) -> str:
+    """Keys of a line of many segments. Segment j as prefix and as suffix counts with its place; key t is the sum of prefixes before it and suffixes after it."""
+    pieces = lambda of: f"transform(regexp_extract_all({of}, '(?s).{{1,{SEGMENT_CHARS}}}', 0), (c, j) -> shiftrightunsigned(xxhash64(j, c), 8))"
+    prefixes, suffixes = pieces("line"), pieces(f"if(n = {m}, line, substring(line, 2))")
+    # Sums of prefix minus suffix before each segment, some at a time so that arrays that grow stay short. Hashes have 56 bits and sums wrap within 60.
+    wrap = lambda sum: f"(({sum}) & {(1 << 60) - 1})"
+    chunk = f"slice(d, i * {SUMS} + 1, {SUMS})"
+    inner = f"aggregate({chunk}, named_struct('sum', acc.sum, 'sums', cast(array() as array<bigint>)), (a, x) -> named_struct('sum', {wrap('a.sum + x')}, 'sums', concat(a.sums, array(a.sum))))"
+    sums = (f"flatten(aggregate(sequence(0, cast(floor((size(d) - 1) / {SUMS}) as int)), named_struct('sum', 0L, 'all', cast(array() as array<array<bigint>>)), "
+            f"(acc, i) -> transform(array({inner}), b -> named_struct('sum', b.sum, 'all', concat(acc.all, array(b.sums))))[0]).all)")
+    total = f"aggregate(s, 0L, (a, x) -> {wrap('a + x')})"
+    keys = (f"transform(arrays_zip(s, sums), (y, t) -> named_struct('m', {m}, 't', t, 'rest', transform(array(named_struct('after', y.s, 'before', y.sums)), "
+            f"z -> xxhash64({m}, t, {wrap('total - z.after + z.before')}))[0]))")
+    one = lambda name, value, body: f"flatten(transform(array({value}), {name} -> {body}))"
+    return one("p", prefixes, one("s", suffixes, one("d", f"transform(s, (x, j) -> coalesce(p[j], 0L) - x)", one("sums", sums, one("total", total, keys)))))
+
+
 def _segments() -> Column:
-    """For the line as the shorter or an equal one (m = n) and as the longer one (m = n - 1): each segment's place, and the hash of the rest."""
-    def one(m: str, t: str, k: str) -> str:
-        before, after = f"cast(floor(({m}) * {t} / {k}) as int)", f"(({m}) - cast(floor(({m}) * ({t} + 1) / {k}) as int))"
-        return (f"named_struct('m', {m}, 'before', {before}, 'after', {after}, "
-                f"'rest', xxhash64({m}, {t}, substring(line, 1, {before}), substring(line, n - {after} + 1)))")
+    """(m, t, rest) for the line as the shorter or an equal one (m = n) and as the longer one (m = n - 1): the hash of all but segment t. How a line is cut
+    depends on m alone."""
+    most = SEGMENTS * SEGMENT_CHARS
+    return F.expr(f"if(n <= {most}, concat({_short('n')}, {_short('n - 1')}), concat({_long('n')}, if(n - 1 <= {most}, {_short('n - 1')}, {_long('n - 1')})))")
+
 
-    # Almost all lines have the least number of segments; those are written out, which compiles to straight code.
-    short = ", ".join(one(m, str(t), str(SEGMENTS)) for m in ("n", "n - 1") for t in range(SEGMENTS))
-    count = f"greatest({SEGMENTS}, cast(ceil(m / {SEGMENT_CHARS}) as int))"
-    long = f"flatten(transform(array(n, n - 1), m -> flatten(transform(array({count}), k -> transform(sequence(0, k - 1), t -> {one('m', 't', 'k')})))))"
-    return F.expr(f"if(n <= {SEGMENTS * SEGMENT_CHARS}, array({short}), {long})")
+def _cut(keys: DataFrame) -> DataFrame:
+    """How many characters of the line lie before and after the segment."""
+    short = F.col("m") <= SEGMENTS * SEGMENT_CHARS
+    edge = lambda t: F.when(short, F.floor(F.col("m") * t / SEGMENTS)).otherwise(F.least(F.col("m"), t * SEGMENT_CHARS)).cast("int")
+    return keys.withColumns({"before": edge(F.col("t")), "after": F.col("m") - edge(F.col("t") + 1)})
 
 
 def _variants() -> Column:
@@ -63,14 +92,35 @@ def _variants() -> Column:
     return F.expr(f"flatten(transform(array({middle}), x -> if(m = n, concat({whole}, {over(equal)}), {over(longer)})))")
 
 
-def near_lines(docs: DataFrame, first: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS,
+def _within_one(a: str, b: str) -> Column:
+    """At most one edit. Of long lines only what is left between equal chunks from the begin and from the end is compared."""
+    chunks = lambda x: F.regexp_extract_all(x, F.lit(f"(?s).{{1,{SEGMENT_CHARS}}}"), F.lit(0))
+
+    def apart(x: Column, y: Column) -> tuple[Column, Column]:
+        """Both without the chunks that they begin with alike, and turned round."""
+        same = F.array_position(F.zip_with(chunks(x), chunks(y), lambda v, w: v.eqNullSafe(w)), False) - 1
+        rest = lambda z: F.reverse(F.substring(z, (same * SEGMENT_CHARS + 1).cast("int"), F.lit(1 << 30)))
+        return rest(x), rest(y)
+
+    near = lambda x, y: F.levenshtein(x, y, 1).between(0, 1)
+    middle = F.get(F.transform(F.array(F.struct(*[c.alias(n) for c, n in zip(apart(F.col(a), F.col(b)), "xy")])), lambda r: F.struct(*[
+        c.alias(n) for c, n in zip(apart(r["x"], r["y"]), "xy")])), F.lit(0))
+    long = (F.length(middle["x"]) <= 4 * SEGMENT_CHARS) & (F.length(middle["y"]) <= 4 * SEGMENT_CHARS) & near(middle["x"], middle["y"])
+    return F.when(F.greatest(F.length(a), F.length(b)) <= 4 * SEGMENT_CHARS, near(F.col(a), F.col(b))).otherwise(long)
+
+
+def _solid(lines: DataFrame) -> DataFrame:
+    return lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
+
+
+def near_lines(docs: DataFrame, first: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(h, h2, witness): lines whose first place has an earlier line within one edit; the witness is the earliest such line's first place."""
-    lines = _lines(docs, id_col, text_col).where(F.col("n") >= near_chars)
-    keyed = lines.select(*LINE, "line", "n", F.explode(_segments()).alias("s")).select(*LINE, "n", "s.*")
+    lines = _solid(_lines(docs, id_col, text_col))
+    keyed = written(lines.select(*LINE, "n", F.explode(_segments()).alias("s")).select(*LINE, "n", "s.*"), "segments")
     shared = keyed.groupBy("rest").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("rest")
     shared = _bounded(written(shared, "shared-rests"), broadcast_rows)
-    hits = written(keyed.join(shared, "rest", "left_semi").distinct(), "hits")
+    hits = written(_cut(keyed.join(shared, "rest", "left_semi").distinct()), "hits")
     named = _bounded(written(hits.select(*LINE).distinct(), "hit-lines"), broadcast_rows)
     texts = written(lines.join(named, LINE, "left_semi").groupBy(*LINE).agg(F.min("line").alias("line")), "hit-texts")
     placed = hits.select(*LINE).distinct().join(first, LINE)
@@ -85,22 +135,22 @@ def near_lines(docs: DataFrame, first: DataFrame, *, id_col: str = "doc_id", tex
     found = found.groupBy(*LINE).agg(F.min("witness").alias("witness"))
     side = texts.select(F.col("h").alias("wh"), F.col("h2").alias("wh2"), F.col("line").alias("other"))
     checked = found.join(texts.select(*LINE, "line"), LINE).join(side, (F.col("witness.h") == F.col("wh")) & (F.col("witness.h2") == F.col("wh2")))
-    return checked.where(F.levenshtein("line", "other", 1).between(0, 1)).select(*LINE, F.struct("witness.doc_id", "witness.line_no").alias("witness"))
+    return checked.where(_within_one("line", "other")).select(*LINE, F.struct("witness.doc_id", "witness.line_no").alias("witness"))
 
 
-def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS,
+def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per line that is not blank: id, line_no, kept, keep_doc_id, keep_line_no, edits.
 
-    Lines are what line feeds part, numbered from 0 within a row. The earliest place in the order of (id, line_no) of equal lines stays. A line of at
-    least ``near_chars`` characters goes, everywhere, if an earlier line of such length is within one edit of it; edits is then 1 and the keep columns name the earliest such
+    Lines are what line feeds part, numbered from 0 within a row. The earliest place in the order of (id, line_no) of equal lines stays. A line
+    goes, everywhere, if an earlier line that is not blank is within one edit of it; edits is then 1 and the keep columns name the earliest such
     line, else they name the first place of the line itself and edits is 0. A null text has no lines, blank lines always stay and are not listed. A null id
     is before all others; rows that repeat an id have the same places, and the first of equal places stands for both. Other
     columns are not looked at.
     """
-    lines = _lines(docs, id_col, text_col).where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "").drop("line", "n")
+    lines = _solid(_lines(docs, id_col, text_col)).drop("line", "n")
     first = written(lines.groupBy(*LINE).agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "first-places")
-    near = near_lines(docs, first, id_col=id_col, text_col=text_col, near_chars=near_chars, broadcast_rows=broadcast_rows)
+    near = near_lines(docs, first, id_col=id_col, text_col=text_col, broadcast_rows=broadcast_rows)
     decided = first.join(near, LINE, "left").select(*LINE, "first", "witness")
     keep = F.coalesce("witness", "first")
     return lines.join(decided, LINE).select(

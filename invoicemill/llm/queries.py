@@ -263,12 +263,20 @@ lines AS (SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line FRO
 solid AS (SELECT * FROM lines WHERE trim(translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    ')) <> ''),
 firsts AS (SELECT line, min(struct_pack(d := doc_id, l := line_no)) AS first, len(line) AS n FROM solid GROUP BY line),
 halves AS (
-  SELECT line, first, m, 'p' AS side, substring(line, 1, m // 2) AS half FROM firsts, (SELECT unnest([0, 1]) AS k), LATERAL (SELECT n - k AS m) WHERE n >= 16
+  SELECT line, first, m, 'p' AS side, substring(line, 1, m // 2) AS half FROM firsts, (SELECT unnest([0, 1]) AS k), LATERAL (SELECT n - k AS m)
   UNION ALL
-  SELECT line, first, m, 's', substring(line, n - (m - m // 2) + 1) FROM firsts, (SELECT unnest([0, 1]) AS k), LATERAL (SELECT n - k AS m) WHERE n >= 16),
+  SELECT line, first, m, 's', substring(line, n - (m - m // 2) + 1) FROM firsts, (SELECT unnest([0, 1]) AS k), LATERAL (SELECT n - k AS m)),
 pairs AS (
   SELECT DISTINCT a.line, b.line AS other, b.first FROM halves a JOIN halves b USING (m, side, half) WHERE b.first < a.first),
-near AS (SELECT line, min(first) AS witness FROM pairs WHERE abs(len(line) - len(other)) <= 1 AND levenshtein(line, other) <= 1 GROUP BY line)
+-- The function counts bytes: a character changed for another of up to four bytes is looked at by characters.
+edits AS (SELECT *, levenshtein(line, other) AS bytes, CASE WHEN len(line) > len(other) THEN line ELSE other END AS long, CASE WHEN len(line) > len(other) THEN other ELSE line END AS short
+  FROM pairs WHERE abs(len(line) - len(other)) <= 1),
+near AS (
+  SELECT line, min(first) AS witness FROM edits
+  WHERE CASE WHEN bytes <= 1 THEN true WHEN bytes > 4 THEN false
+    WHEN len(line) = len(other) THEN len(list_filter(range(1, len(line) + 1), lambda i: line[i] <> other[i])) = 1
+    ELSE list_contains(list_transform(range(1, len(long) + 1), lambda i: long[:i - 1] || long[i + 1:]), short) END
+  GROUP BY line)
 SELECT doc_id, line_no, witness IS NULL AND first.d = doc_id AND first.l = line_no AS kept, coalesce(witness, first).d AS keep_doc_id,
        coalesce(witness, first).l AS keep_line_no, CAST(witness IS NOT NULL AS BIGINT) AS edits
 FROM solid JOIN firsts USING (line) LEFT JOIN near USING (line)""",

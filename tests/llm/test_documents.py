@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -117,7 +118,8 @@ def test_line_dedup(spark):
     line, long = "the quick brown fox jumps", prose(8, 900)
     variants = [line, line + "s", line[1:], line.replace("q", "k"), line.replace("fox", "box"), line.replace("o", "0", 1), line.replace("o", "00", 1)]
     rows = [(3, "\n".join(variants)), (1, f"{line[:-1]}\n\n  \nshort\nshort\n{long}"), (2, "\n".join([long[:700] + long[701:], long[:700] + "#" + long[700:], "shorx", line])),
-            (4, None), (5, ""), (6, "\n".join(f"page number {i % 37} of the book" for i in range(60))), (7, "é" * 20 + "\n" + "é" * 21 + "\r")]
+            (4, None), (5, ""), (6, "\n".join(f"page number {i % 37} of the book" for i in range(60))), (7, "é" * 20 + "\n" + "é" * 21 + "\r"),
+            (8, "a\nb\nab\n-\nxyz\nxy\nq\n1234"), (9, "\n".join([long[:768], long[:769], long[:768] + "😀", long[1:769], long[:2500], long[:1300] + long[1301:2500], "z" + long[:2500]]))]
     docs = table(spark, rows)
     for most in (1_000_000, 0):
         got = {(r["doc_id"], r["line_no"]): tuple(r)[2:] for r in line_dedup(docs, broadcast_rows=most).collect()}
@@ -127,7 +129,7 @@ def test_line_dedup(spark):
             first.setdefault(x, (i, n))
         want = {}
         for i, n, x in places:
-            earlier = [first[y] for y in first if min(len(x), len(y)) >= 16 and first[y] < first[x] and levenshtein_one(x, y)]
+            earlier = [first[y] for y in first if first[y] < first[x] and levenshtein_one(x, y)]
             keep = min(earlier) if earlier else first[x]
             want[i, n] = (not earlier and (i, n) == first[x], *keep, int(bool(earlier)))
         assert got == want
@@ -135,6 +137,18 @@ def test_line_dedup(spark):
     assert cleaned[1].startswith(line[:-1] + "\n\n  \nshort\n") and cleaned[4] is None and cleaned[5] == ""
 
 
+def test_lines_of_a_megabyte(spark):
+    """Each text is one line; one character is changed, removed or added near its begin, middle and end."""
+    r = random.Random(4)
+    line = "".join(r.choice("abcdefghij é") for _ in range(1_000_000))
+    cut = lambda at, what: line[:at] + what + line[at + 1:]
+    texts = [line, cut(3, "#"), cut(500_000, ""), line[:999_990] + "é" + line[999_990:], line[::-1], cut(256 * 1000, "#"), cut(768, "")]
+    started = time.time()
+    got = {x["doc_id"]: (x["kept"], x["keep_doc_id"], x["edits"]) for x in line_dedup(table(spark, list(enumerate(texts)))).collect()}
+    assert got == {0: (True, 0, 0), 1: (False, 0, 1), 2: (False, 0, 1), 3: (False, 0, 1), 4: (True, 4, 0), 5: (False, 0, 1), 6: (False, 0, 1)}
+    assert time.time() - started < 120
+
+
 def test_language_id(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
