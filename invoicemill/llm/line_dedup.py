@@ -37,16 +37,20 @@ def _bounded(rows: DataFrame, most: int) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
-def _short(m: str) -> str:
-    """Keys of a line of few segments: the hashes of its segments as a prefix of the line and as a suffix of it."""
-    edge = lambda t: f"cast(floor(({m}) * {t} / {SEGMENTS}) as int)"
-    shift = f"(n - ({m}))"
-    part = lambda t, moved: f"xxhash64(substring(line, {edge(t)} + 1{' + ' + shift if moved else ''}, {edge(t + 1)} - {edge(t)}))"
-    fields = [f"'{side}{t}', {part(t, side == 's')}" for side in "ps" for t in range(SEGMENTS)]
-    hashed = f"named_struct({', '.join(fields)})"
-    one = lambda t: (f"named_struct('m', {m}, 't', {t}, 'rest', xxhash64({m}, {t}"
-                     + "".join(f", x.{'p' if j < t else 's'}{j}" for j in range(SEGMENTS) if j != t) + "))")
-    return f"flatten(transform(array({hashed}), x -> array({', '.join(map(one, range(SEGMENTS)))})))"
+def _short_hashes(lines: DataFrame) -> DataFrame:
+    """The hashes of the segments of lines of few segments, in columns, so that they compile to straight code: e as prefix and suffix of the line as it is, p and s as
+    the longer one."""
+    def part(m: str, t: int, moved: int) -> Column:
+        edge = lambda t: f"cast(floor(({m}) * {t} / {SEGMENTS}) as int)"
+        return F.expr(f"if(({m}) <= {SEGMENTS * SEGMENT_CHARS}, xxhash64(substring(line, {edge(t)} + {1 + moved}, {edge(t + 1)} - {edge(t)})), 0L)")
+    return lines.withColumns({f"e{t}": part("n", t, 0) for t in range(SEGMENTS)} | {f"p{t}": part("n - 1", t, 0) for t in range(SEGMENTS - 1)}
+                             | {f"s{t}": part("n - 1", t, 1) for t in range(1, SEGMENTS)})
+
+
+def _short(m: str, before: str, after: str) -> str:
+    """Keys of a line of few segments from the hashes before and after each."""
+    one = lambda t: (f"named_struct('m', {m}, 't', {t}, 'rest', xxhash64({m}, {t}" + "".join(f", {before if j < t else after}{j}" for j in range(SEGMENTS) if j != t) + "))")
+    return ", ".join(map(one, range(SEGMENTS)))
 
 
 def _long(m: str) -> str:
@@ -69,8 +73,8 @@ def _long(m: str) -> str:
 def _segments() -> Column:
     """(m, t, rest) for the line as the shorter or an equal one (m = n) and as the longer one (m = n - 1): the hash of all but segment t. How a line is cut
     depends on m alone."""
-    most = SEGMENTS * SEGMENT_CHARS
-    return F.expr(f"if(n <= {most}, concat({_short('n')}, {_short('n - 1')}), concat({_long('n')}, if(n - 1 <= {most}, {_short('n - 1')}, {_long('n - 1')})))")
+    most, as_is, longer = SEGMENTS * SEGMENT_CHARS, _short("n", "e", "e"), _short("n - 1", "p", "s")
+    return F.expr(f"if(n <= {most}, array({as_is}, {longer}), concat({_long('n')}, if(n - 1 <= {most}, array({longer}), {_long('n - 1')})))")
 
 
 def _cut(keys: DataFrame) -> DataFrame:
@@ -117,7 +121,7 @@ def near_lines(docs: DataFrame, first: DataFrame, *, id_col: str = "doc_id", tex
                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(h, h2, witness): lines whose first place has an earlier line within one edit; the witness is the earliest such line's first place."""
     lines = _solid(_lines(docs, id_col, text_col))
-    keyed = written(lines.select(*LINE, "n", F.explode(_segments()).alias("s")).select(*LINE, "n", "s.*"), "segments")
+    keyed = written(_short_hashes(lines).select(*LINE, "n", F.explode(_segments()).alias("s")).select(*LINE, "n", "s.*"), "segments")
     shared = keyed.groupBy("rest").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("rest")
     shared = _bounded(written(shared, "shared-rests"), broadcast_rows)
     hits = written(_cut(keyed.join(shared, "rest", "left_semi").distinct()), "hits")
