@@ -55,14 +55,32 @@ def test_embedding_dedup(spark):
     assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in range(len(x)))
 
 
+def planted_vectors(spark):
+    """The given vectors, a near partner of each of the first 500 of them, and a group of 400 around one."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    x = np.array([r["embedding"] for r in given], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    noise = np.random.default_rng(5).normal(size=(400, x.shape[1])) / np.sqrt(x.shape[1])
+    more = np.concatenate([near.planted(x[:500], 0.93), x[1000] + 0.1 * noise])
+    rows = [(r["vec_id"], v.tolist()) for r, v in zip(given, x)] + [(1_000_000 + i, v.tolist()) for i, v in enumerate(more)]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+
+
 def test_embedding_recall_on_the_table(spark):
-    vectors = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    vectors = planted_vectors(spark)
     got = near.embedding_dedup(vectors).toPandas().sort_values("vec_id")
     given = vectors.select("vec_id", "embedding").toPandas().sort_values("vec_id")
     x = np.array(given.embedding.tolist(), float)
     x /= np.linalg.norm(x, axis=1)[:, None]
     n = np.concatenate([(x[i:i + 1000] @ x.T >= 0.9).sum(1) - 1 for i in range(0, len(x), 1000)])
-    assert (got.n_links.values <= n).all() and got.n_links.sum() >= 0.9 * n.sum()
+    assert n.sum() > 100_000 and (got.n_links.values <= n).all() and got.n_links.sum() >= 0.9 * n.sum()
+    assert got.n_links[(n > 0) & (n < 5)].sum() >= 0.9 * n[n < 5].sum()
+    # Components by brute force: labels run along links until nothing changes; where no link is missed they are the same.
+    label, close = given.vec_id.values.copy(), x @ x.T >= 0.9
+    while (least := np.where(close, label, label.max()).min(1)).tolist() != label.tolist():
+        label = least
+    whole = np.isin(label, label[got.n_links.values < n], invert=True)
+    assert whole.mean() > 0.5 and (got.component_id.values[whole] == label[whole]).all() and (got.component_id.values >= label).all()
 
 
 def test_embedding_small_groups(spark):
