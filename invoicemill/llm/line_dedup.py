@@ -114,7 +114,7 @@ def _within_one(a: str, b: str) -> Column:
 
 
 def _solid(lines: DataFrame) -> DataFrame:
-    return lines.where(F.trim(F.translate("line", "\t\r\f\v", "    ")) != "")
+    return lines.where(F.col("line").rlike("[^ \\t\\r\\f\\x0b]"))
 
 
 def near_lines(docs: DataFrame, first: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
