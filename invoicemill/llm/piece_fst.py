@@ -9,7 +9,7 @@ pieces is what merging gives if and only if every two neighbours are what mergin
 piece, an arc between neighbours weighs 0 or infinity, and the only path of finite weight is the encoding.
 
 No piece holds a mark behind another character, so a text's lattice falls into independent ones at each begin of a word. Those are composed
-once per distinct word of a batch, all words of one length side by side.
+once per distinct word of a batch, words of like length side by side; a word of more than LONG characters is composed alone, place by place.
 """
 
 from __future__ import annotations
@@ -22,9 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from invoicemill.llm.texts import mix, runs_of_rows, text_bytes
-from invoicemill.llm.word_ids import RunIds, held, ragged
+from invoicemill.llm.word_ids import RunIds, ragged
 
 MARK = "▁"
+LONG = 96                   # characters of a word up to which words are composed side by side
+AT_ONCE = 1 << 20           # places times lengths looked up at once
+MOST_PAIRS = 2_000_000      # verdicts on neighbours kept per worker (18 MB); beyond it they start anew
+BPE, UNIGRAM = "bpe", "unigram"
 UNKNOWN_PENALTY = 10.0      # how much more than the rarest piece a byte-fallback character weighs, in a unigram model
 _FACTORS = mix(np.arange(501, 501 + 256, dtype=np.uint64)) | np.uint64(1)
 
@@ -38,14 +42,77 @@ def _hash(codes: np.ndarray, length: int) -> np.ndarray:
     return mix(total)
 
 
+def _fields(message: bytes):
+    """(number, value) of each field of a serialised message: integers, or bytes."""
+    at = 0
+
+    def varint():
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at, value, shift = at + 1, value | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        number, wire = divmod(varint(), 8)
+        n = varint() if wire in (0, 2) else 8 if wire == 1 else 4
+        if wire:
+            at += n
+        yield number, message[at - n:at] if wire else n
+
+
+def model_kind(path: str) -> str:
+    """``bpe`` or ``unigram``, as the model file says (field 3 of its field 2; without it a model is a unigram one)."""
+    with open(path, "rb") as f:
+        trained = [v for n, v in _fields(f.read()) if n == 2]
+    number = next((v for spec in trained for n, v in _fields(spec) if n == 3), 1)
+    if number not in (1, 2):
+        raise ValueError(f"a model of type {number} is neither unigram nor byte-pair")
+    return BPE if number == 2 else UNIGRAM
+
+
+class _Pairs:
+    """Verdicts on pairs of neighbours in sorted arrays: a large one, and a small one for those that came lately."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.codes, self.fit = [np.zeros(0, np.int64) for _ in range(2)], [np.zeros(0, bool) for _ in range(2)]
+
+    def look_up(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(known, verdict) of each code."""
+        known, fit = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+        for own, verdicts in zip(self.codes, self.fit):
+            if len(own):
+                place = np.minimum(np.searchsorted(own, codes), len(own) - 1)
+                hit = own[place] == codes
+                known |= hit
+                fit |= hit & verdicts[place]
+        return known, fit
+
+    def learn(self, codes: np.ndarray, fit: np.ndarray) -> None:
+        if len(self.codes[0]) + len(self.codes[1]) + len(codes) > MOST_PAIRS:
+            self.clear()
+        target = 1
+        if len(self.codes[1]) + len(codes) > 20_000:
+            codes, fit, target = np.concatenate([self.codes[1], codes]), np.concatenate([self.fit[1], fit]), 0
+            self.codes[1], self.fit[1] = self.codes[1][:0], self.fit[1][:0]
+        codes, fit = np.concatenate([self.codes[target], codes]), np.concatenate([self.fit[target], fit])
+        order = np.argsort(codes, kind="stable")
+        self.codes[target], self.fit[target] = codes[order], fit[order]
+
+
 class PieceTransducer(RunIds):
-    def __init__(self, path: str, *, kind: str = "bpe"):
+    def __init__(self, path: str):
         super().__init__()
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         if model.normalize(" aé  ﬁ\t") != f"{MARK}{MARK}aé{MARK}{MARK}ﬁ\t":
             raise ValueError("the model's normaliser does more than marking blanks")
-        self.kind, size = kind, model.get_piece_size()
+        self.kind, size = model_kind(path), model.get_piece_size()
         special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)}
         self.piece_of = {i: model.id_to_piece(i) for i in range(size) if i not in special}
         self.id_of = {p: i for i, p in self.piece_of.items()}
@@ -61,7 +128,7 @@ class PieceTransducer(RunIds):
             keys = _hash(rows, length)[:, 0] if len(pieces) else np.zeros(0, np.uint64)
             order = np.argsort(keys)
             self.arcs.append((keys[order], np.array([self.id_of[p] for p in pieces], np.int64)[order]))
-        self.pairs, self.joined = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.pairs = _Pairs()
         self.size, self.byte_weight = size, UNKNOWN_PENALTY - float(self.score[list(self.piece_of)].min())
         # Output side, for decoding: the bytes of every id.
         out = [self.piece_of[i].replace(MARK, " ").encode() if i in self.piece_of else b"" for i in range(size)]
@@ -86,27 +153,37 @@ class PieceTransducer(RunIds):
     def _neighbours(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """True where merging leaves the pieces ``left`` and ``right`` apart; left -1 is the begin, -2 a byte arc."""
         code = np.where(left >= 0, left, self.size) * (self.size + 1) + right
-        known = held(self.pairs, code)
+        known, fit = self.pairs.look_up(code)
         if not known.all():
-            fit, new = [], np.unique(code[~known])
-            for c in new.tolist():
-                a, b = divmod(c, self.size + 1)
-                parts = [self.piece_of[b]] if a == self.size else [self.piece_of[a], self.piece_of[b]]
-                fit.append(self.merged("".join(parts)) == parts)
-            place = np.searchsorted(self.pairs, new)
-            self.pairs, self.joined = np.insert(self.pairs, place, new), np.insert(self.joined, place, fit)
-        return self.joined[np.searchsorted(self.pairs, code)]
-
-    def _shortest(self, codes: np.ndarray) -> np.ndarray:
-        """Shortest paths of all rows (words of one length): at each place the id of the piece that begins there, -1 if
-        none does, -2 - c if character c becomes bytes."""
-        m, n = codes.shape
+            new, back = np.unique(code[~known], return_inverse=True)
+            verdicts = np.fromiter(map(self._apart, new.tolist()), bool, len(new))
+            fit[~known] = verdicts[back]
+            self.pairs.learn(new, verdicts)
+        return fit
+
+    def _apart(self, code: int) -> bool:
+        a, b = divmod(code, self.size + 1)
+        parts = [self.piece_of[b]] if a == self.size else [self.piece_of[a], self.piece_of[b]]
+        return self.merged("".join(parts)) == parts
+
+    def _pieces(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For each length the id of the piece of that length that begins at each place, or -1."""
         found = []
-        for length in range(1, min(self.longest, n) + 1):
+        for length in range(1, min(self.longest, codes.shape[1]) + 1):
             keys, ids = self.arcs[length - 1]
             h = _hash(codes, length)
-            place = np.minimum(np.searchsorted(keys, h), len(keys) - 1) if len(keys) else np.zeros(h.shape, int)
-            found.append(np.where(keys[place] == h, ids[place], -1) if len(keys) else np.full(h.shape, -1))
+            if not len(keys):
+                found.append(np.full(h.shape, -1, np.int32))
+                continue
+            place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            found.append(np.where(keys[place] == h, ids[place], -1).astype(np.int32))
+        return found
+
+    def _shortest(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Shortest paths of all rows (words, filled up with zeros): at each place the id of the piece that begins there, -1 if
+        none does, -2 - c if character c becomes bytes."""
+        m, n = codes.shape
+        found = self._pieces(codes)
         cost = np.full((m, n + 1), np.inf)
         cost[:, 0] = 0
         last, back = np.full((m, n + 1), -1, np.int64), np.zeros((m, n + 1), np.int64)
@@ -114,7 +191,7 @@ class PieceTransducer(RunIds):
             for length in range(min(self.longest, j), 0, -1):
                 piece, before = found[length - 1][:, j - length], cost[:, j - length]
                 rows = np.flatnonzero((piece >= 0) & np.isfinite(before))
-                if self.kind == "bpe":
+                if self.kind == BPE:
                     rows = rows[cost[rows, j] > before[rows]]
                     rows = rows[self._neighbours(last[rows, j - length], piece[rows])] if len(rows) else rows
                     total = before[rows]
@@ -123,12 +200,12 @@ class PieceTransducer(RunIds):
                 better = total < cost[rows, j]
                 rows = rows[better]
                 cost[rows, j], last[rows, j], back[rows, j] = total[better], piece[rows], length
-            rows = np.flatnonzero((found[0][:, j - 1] < 0) & np.isfinite(cost[:, j - 1]))
-            total = cost[rows, j - 1] + (0 if self.kind == "bpe" else self.byte_weight)
+            rows = np.flatnonzero((found[0][:, j - 1] < 0) & np.isfinite(cost[:, j - 1]) & (lengths >= j))
+            total = cost[rows, j - 1] + (0 if self.kind == BPE else self.byte_weight)
             better = total < cost[rows, j]
             rows = rows[better]
             cost[rows, j], last[rows, j], back[rows, j] = total[better], -2, 1
-        path, at, rows = np.full((m, n), -1, np.int64), np.full(m, n), np.arange(m)
+        path, at, rows = np.full((m, n), -1, np.int64), lengths.copy(), np.arange(m)
         while len(rows):
             j = at[rows]
             begin = j - back[rows, j]
@@ -138,25 +215,79 @@ class PieceTransducer(RunIds):
             rows = rows[begin > 0]
         return path
 
+    def _shortest_long(self, codes: np.ndarray) -> np.ndarray:
+        """The same for one long word, place by place; pieces are looked up for a bounded stretch at once."""
+        n, longest, bpe = len(codes), self.longest, self.kind == BPE
+        cost, last, back = [0.0] + [np.inf] * n, np.full(n + 1, -1, np.int64).tolist(), np.zeros(n + 1, np.int64).tolist()
+        score, verdicts, size = self.score.tolist(), {}, self.size
+        step = AT_ONCE // longest
+        for first in range(0, n, step):
+            ending: list[list] = [[] for _ in range(min(step, n - first))]
+            begin = max(0, first - longest + 1)
+            for length, ids in enumerate(self._pieces(codes[None, begin:first + step]), 1):
+                at = np.flatnonzero(ids[0] >= 0)
+                ends = at + begin + length - 1 - first
+                at, ends = at[ends >= 0], ends[ends >= 0]
+                for e, piece in zip(ends.tolist(), ids[0][at].tolist()):
+                    ending[e].append((length, piece))
+            for j, arcs in enumerate(ending, first + 1):
+                single = False
+                for length, piece in arcs:
+                    before, single = cost[j - length], single or length == 1
+                    total = before if bpe else before - score[piece]
+                    if total >= cost[j]:
+                        continue
+                    if bpe:
+                        left = last[j - length]
+                        code = (left if left >= 0 else size) * (size + 1) + piece
+                        fit = verdicts.get(code)
+                        if fit is None:
+                            if len(verdicts) >= 500_000:
+                                verdicts.clear()
+                            fit = verdicts[code] = self._apart(code)
+                        if not fit:
+                            continue
+                    cost[j], last[j], back[j] = total, piece, length
+                if not single:
+                    total = cost[j - 1] + (0 if bpe else self.byte_weight)
+                    if total < cost[j]:
+                        cost[j], last[j], back[j] = total, -2, 1
+        path, j = np.full(n, -1, np.int64), n
+        while j:
+            piece, j = last[j], j - back[j]
+            path[j] = -2 - int(codes[j]) if piece == -2 else piece
+        return path
+
     def ids_of(self, runs):
         words = [r.decode().replace(" ", MARK) for r in runs]
         lengths = np.array([len(w) for w in words])
-        n_ids, order, found = np.zeros(len(words), np.int64), [], []
-        for n in np.unique(lengths).tolist():
-            every = np.flatnonzero(lengths == n)
-            step = max(1, (1 << 18) // (n * min(n, self.longest)))
-            for first in range(0, len(every), step):
-                some = every[first:first + step]
-                codes = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32).reshape(len(some), n)
-                path = self._shortest(codes)
-                begins = path != -1
-                ids, count = path[begins], begins.sum(1)
-                if (ids < 0).any():                 # characters that become bytes
-                    parts = [np.array([x]) if x >= 0 else self.byte_id[list(chr(-2 - x).encode())] for x in ids.tolist()]
-                    rows = np.repeat(np.arange(len(some)), count)
-                    ids, count = np.concatenate(parts), np.bincount(rows, [len(x) for x in parts], len(some)).astype(np.int64)
-                n_ids[some] = count
-                order.append(some), found.append(ids)
+        by_length = np.argsort(lengths, kind="stable")
+        n_ids, order, found, first = np.zeros(len(words), np.int64), [], [], 0
+        while first < len(words):
+            short = int(lengths[by_length[first]])
+            most = short if short > LONG else min(LONG, short + 1 + short // 4)
+            last = min(int(np.searchsorted(lengths[by_length], most, "right")), first + max(1, AT_ONCE // (most * min(most, self.longest)))) if short <= LONG else first + 1
+            some = by_length[first:last]
+            first, own = last, lengths[some]
+            if short > LONG:
+                path = self._shortest_long(np.frombuffer(words[some[0]].encode("utf-32-le"), np.uint32))[None, :]
+            else:
+                n = int(own.max())
+                codes = np.zeros((len(some), n), np.uint32)
+                codes[np.arange(n) < own[:, None]] = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32)
+                path = self._shortest(codes, own)
+            begins = path != -1
+            ids, count = path[begins], begins.sum(1)
+            if (ids < 0).any():                 # characters that become bytes
+                raw = ids < 0
+                chars = -2 - ids[raw]
+                size = np.ones(len(ids), np.int64)
+                size[raw] = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+                count = np.bincount(np.repeat(np.arange(len(some)), count), size, len(some)).astype(np.int64)
+                ids, raw = np.repeat(ids, size), np.repeat(raw, size)
+                ids[raw] = self.byte_id[np.frombuffer(chars.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)]
+            n_ids[some] = count
+            order.append(some), found.append(ids)
         laid, order = np.concatenate(found).astype(np.int32), np.concatenate(order)
         begin = np.empty(len(words), np.int64)
         begin[order] = np.cumsum(n_ids[order]) - n_ids[order]
@@ -193,18 +324,18 @@ class PieceTransducer(RunIds):
         return out[1:] if out[:1] == b" " else out
 
 
-_loaded: dict[tuple[str, str], PieceTransducer] = {}
+_loaded: dict[str, PieceTransducer] = {}
 
 
-def transducer(path: str, kind: str = "bpe") -> PieceTransducer:
-    if (path, kind) not in _loaded:
-        _loaded[path, kind] = PieceTransducer(path, kind=kind)
-    return _loaded[path, kind]
+def transducer(path: str) -> PieceTransducer:
+    if path not in _loaded:
+        _loaded[path] = PieceTransducer(path)
+    return _loaded[path]
 
 
-def _encode(path: str, kind: str):
+def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = transducer(path, kind)
+        model = transducer(path)
         for batch in batches:
             data, where = text_bytes(batch.column(1))
             for first, last in runs_of_rows(where):
@@ -221,28 +352,29 @@ def _encode(path: str, kind: str):
     return run
 
 
-def encode(docs: DataFrame, model: str, *, kind: str = "bpe", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, *, text_col: str = "text") -> DataFrame:
     """Adds ``ids``, the piece ids of the text. A null or empty text has none. ``model`` is the path of a model file, the same on all executors.
     Every row is encoded for itself; its columns are kept, an ``ids`` of its own is replaced."""
     kept = [c for c in docs.columns if c != "ids"]
     rows = docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_encode(model, kind), f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>").select("row.*", "ids")
+    return rows.mapInArrow(_encode(model), f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>").select("row.*", "ids")
 
 
-def _decode(path: str, kind: str):
+def _decode(path: str):
     def run(batches):
-        model = transducer(path, kind)
+        model = transducer(path)
         for batch in batches:
             texts = [model.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode(errors="replace") for t in texts], pa.string())], ["row", "decoded"])
     return run
 
 
-def decode(rows: DataFrame, model: str, *, kind: str = "bpe", ids_col: str = "ids") -> DataFrame:
-    """Adds ``decoded``, the text of the ids; bytes that are no UTF-8 become replacement characters. Null ids give an empty text."""
+def decode(rows: DataFrame, model: str, *, ids_col: str = "ids") -> DataFrame:
+    """Adds ``decoded``, the text of the ids; bytes that are no UTF-8 become replacement characters. Null ids give an empty text.
+    A mark (U+2581) in a text is encoded as a blank and is read back as one."""
     kept = [c for c in rows.columns if c != "decoded"]
     packed = rows.select(F.struct(*kept).alias("row"), F.col(ids_col).alias("ids"))
-    return packed.mapInArrow(_decode(model, kind), f"row {packed.schema['row'].dataType.simpleString()}, decoded string").select("row.*", "decoded")
+    return packed.mapInArrow(_decode(model), f"row {packed.schema['row'].dataType.simpleString()}, decoded string").select("row.*", "decoded")
 
 
 def ids_crc32(ids) -> int:
