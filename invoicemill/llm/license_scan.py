@@ -1,8 +1,9 @@
 """Licence scans: an Aho-Corasick automaton finds identifier tags and notice phrases, a shunting-yard parser reads licence expressions.
 
 A text is lower-cased (A-Z) and cut into words; the automaton runs once over the words with single blanks between them and finds every place
-of every phrase, overlapping ones too. Behind an identifier tag stands an expression of identifiers with AND, OR, WITH and brackets; it is
-turned into postfix order and evaluated. The scan is one narrow pass over whole texts.
+of every phrase, overlapping ones too. Behind an identifier tag stands an expression of identifiers with AND, OR, WITH and brackets, up to the next
+tag at most; its longest prefix that reads as an expression is turned into postfix order and evaluated. The scan is one narrow pass over whole
+texts, linear in their length.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,9 +26,12 @@ NOTICES = {
     "public domain": "public-domain", "do not redistribute": "restricted",
 }
 TAGS = ("spdx license identifier",)
-# Identifiers (lower case, by first part) that allow use without sharing changes.
-PERMISSIVE = ("apache", "mit", "bsd", "isc", "cc0", "unlicense", "zlib", "cc-by-1", "cc-by-2", "cc-by-3", "cc-by-4", "0bsd", "python", "psf")
-LINKING_EXCEPTIONS = ("classpath-exception", "gcc-exception", "llvm-exception", "linking-exception", "openssl-exception")
+# Forms of licence identifiers (lower case) that allow use without sharing changes, and of other identifiers.
+PERMISSIVE = re.compile(r"mit(-0)?|0bsd|bsd-[1-4]-clause|apache-(1\.0|1\.1|2\.0)|isc|zlib|unlicense|cc0-1\.0|cc-by-[1-4]\.[05]|python-2\.0|psf-2\.0|bsl-1\.0")
+SHARING = re.compile(r"[al]?gpl-[1-3]\.[0-9](-only|-or-later)?\+?|mpl-[12]\.[01]|epl-[12]\.0|eupl-1\.[0-2]|cddl-1\.[01]|gfdl-1\.[1-3](-only|-or-later)?|"
+                     r"cc-by-(nc|nd|sa|nc-nd|nc-sa)-[1-4]\.[05]|bsd-protection|licenseref-[a-z0-9.-]+")
+LINKING_EXCEPTION = re.compile(r"(classpath|gcc|llvm|linking|openssl)-exception(-[0-9.]+)?")
+EXCEPTION = re.compile(r"[a-z0-9.+-]*exception[a-z0-9.+-]*")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 BASE_WEIGHT, NOTICE_WEIGHT, TAG_WEIGHT = 0.5, 0.7, 0.95
 
@@ -40,6 +45,7 @@ class Expression(NamedTuple):
     valid: bool
     permissive: bool
     identifiers: list[str]
+    postfix: str
 
 
 def to_postfix(tokens: list[str]) -> list[str]:
@@ -80,30 +86,58 @@ def evaluate(postfix: list[str]) -> bool:
     stack: list[tuple[str, bool]] = []
     for t in postfix:
         if t not in PRECEDENCE:
-            stack.append((t, t.startswith(PERMISSIVE)))
+            stack.append((t, bool(PERMISSIVE.fullmatch(t))))
             continue
         (right, may_right), (left, may_left) = stack.pop(), stack.pop()
         if t == "with":
             if not left or not right:
                 raise ValueError("WITH needs a licence and an exception")
-            stack.append(("", may_left or right.startswith(LINKING_EXCEPTIONS)))
+            stack.append(("", may_left or bool(LINKING_EXCEPTION.fullmatch(right))))
         else:
             stack.append(("", may_left or may_right if t == "or" else may_left and may_right))
     return stack[0][1]
 
 
+def readable_prefix(tokens: list[str]) -> int:
+    """How many tokens the longest prefix has that is an expression of known identifiers; an exception stands only behind an identifier and WITH."""
+    longest, depth, before = 0, 0, "("              # before: an open or closed bracket, an operator, "name" or "exception"
+    for i, t in enumerate(tokens):
+        if t == "(":
+            if before not in ("(", "and", "or"):
+                break
+            depth += 1
+        elif t == ")":
+            if before in ("(", "and", "or", "with") or not depth:
+                break
+            depth -= 1
+        elif t in PRECEDENCE:
+            if before in ("(", "and", "or", "with") or t == "with" and before != "name":
+                break
+        elif before == "with":
+            if not EXCEPTION.fullmatch(t):
+                break
+            t = "exception"
+        elif before in ("(", "and", "or") and (PERMISSIVE.fullmatch(t) or SHARING.fullmatch(t)):
+            t = "name"
+        else:
+            break
+        before = t
+        if not depth and t in (")", "name", "exception"):
+            longest = i + 1
+    return longest
+
+
 def parse_expression(text: str) -> Expression:
+    """The longest readable prefix, judged; where operators or brackets alone follow it the expression is unfinished and not valid."""
     tokens = _TOKEN.findall(text.lower())
-    names, after_with = [], False
-    for t in tokens:
-        if t not in PRECEDENCE and t not in "()" and not after_with:
-            names.append(t)
-        after_with = t == "with"
-    try:
-        postfix = to_postfix(tokens)
-        return Expression(text, True, evaluate(postfix), names)
-    except ValueError:
-        return Expression(text, False, False, names)
+    read = readable_prefix(tokens)
+    rest = tokens[read:]
+    if not read or rest and all(t in PRECEDENCE or t == "(" for t in rest):
+        return Expression(text, False, False, [], "")
+    tokens = tokens[:read]
+    names = [t for i, t in enumerate(tokens) if t not in PRECEDENCE and t not in "()" and (not i or tokens[i - 1] != "with")]
+    postfix = to_postfix(tokens)
+    return Expression(text, True, evaluate(postfix), names, " ".join(postfix))
 
 
 _automata: list = []
@@ -126,18 +160,18 @@ def scan(text: str | None) -> tuple:
     marked = raw.translate(_WORDS)
     words = marked.split()
     joined = b" ".join([b"", *words, b""]).decode("latin-1")
-    spans, expressions, base, counted, place = [], [], [], 0, 0
-    for end, phrase in _automaton().iter(joined):
-        start = end - len(phrase) - 1
-        counted, place = (counted + joined.count(" ", place, start), start) if start >= place else (joined.count(" ", 0, start), start)
+    inside = np.frombuffer(b" " + marked + b" ", np.uint8) != 32
+    begins, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    placed = np.cumsum(ends - begins + 1) - (ends - begins)             # where each word begins in the joined words
+    spans, expressions, base = [], [], []
+    found = [(end - len(phrase), phrase) for end, phrase in _automaton().iter(joined)]
+    firsts = np.searchsorted(placed, np.array([at for at, _ in found], np.int64)).tolist()
+    tagged = [int(begins[f]) for f, (_, phrase) in zip(firsts, found) if phrase in TAGS] + [len(raw)]
+    for counted, (_, phrase) in zip(firsts, found):
         n = phrase.count(" ") + 1
         if phrase in TAGS:
-            after = 0
-            for _ in range(counted + n):            # where the tag's last word ends in the text itself
-                while marked[after] == 32:
-                    after += 1
-                after = end_of_word if (end_of_word := marked.find(b" ", after)) >= 0 else len(marked)
-            expressions.append(parse_expression(_EXPRESSION.match(raw, after)[1].decode().strip()))
+            until = tagged[len(expressions) + 1]                        # tags are found in the order of their places
+            expressions.append(parse_expression(_EXPRESSION.match(raw, int(ends[counted + n - 1]), until)[1].decode().strip()))
             spans.append(("tag", counted, n))
             continue
         if phrase in BASE:
@@ -147,7 +181,7 @@ def scan(text: str | None) -> tuple:
             spans.append((NOTICES[phrase], counted, n))
     spans.sort(key=lambda s: (s[1], s[2], s[0]))
     base_labels = sorted({label for label, _ in base})
-    names = {f"spdx-{i}" for e in expressions for i in e.identifiers}
+    names = {f"spdx-{i}" for e in expressions for i in e.identifiers}      # of valid expressions only
     labels = sorted({s[0] for s in spans if s[0] != "tag"} | names)
     miss = 1.0
     for found, weight in ((base, BASE_WEIGHT), ([s for s in spans if s[0] not in base_labels and s[0] != "tag"], NOTICE_WEIGHT), ([e for e in expressions if e.valid], TAG_WEIGHT)):
@@ -156,9 +190,9 @@ def scan(text: str | None) -> tuple:
 
 
 SCHEMA = ("doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, labels array<string>, "
-          "spans array<struct<label:string,first_word:bigint,words:bigint>>, expressions array<struct<text:string,valid:boolean,permissive:boolean,identifiers:array<string>>>, score double")
+          "spans array<struct<label:string,first_word:bigint,words:bigint>>, expressions array<struct<text:string,valid:boolean,permissive:boolean,identifiers:array<string>,postfix:string>>, score double")
 _SPANS = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("words", pa.int64())]))
-_EXPRESSIONS = pa.list_(pa.struct([("text", pa.string()), ("valid", pa.bool_()), ("permissive", pa.bool_()), ("identifiers", pa.list_(pa.string()))]))
+_EXPRESSIONS = pa.list_(pa.struct([("text", pa.string()), ("valid", pa.bool_()), ("permissive", pa.bool_()), ("identifiers", pa.list_(pa.string())), ("postfix", pa.string())]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +211,8 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, spans, expressions, score.
 
     A null text is empty: no words, no labels, score 0. Rows that repeat an id, and rows with a null id, are scanned for themselves.
-    An expression that cannot be read is listed as not valid, with its identifiers. Other columns are not looked at.
+    An expression is the longest prefix of what stands behind a tag that reads as one of known identifiers; where none does, or where only operators
+    follow it, it is listed as not valid, without identifiers, and gives no label. Other columns are not looked at.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_scan, SCHEMA).withColumnRenamed("doc_id", id_col)

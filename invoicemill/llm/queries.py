@@ -79,9 +79,11 @@ def op6_packing(spark, sf_dir):
 
 
 def op7_license_scan(spark, sf_dir):
-    found = licenses.license_scan(_table(spark, sf_dir, "documents"))
+    """Labels of all words and, where a tag's expression could be read, its postfix form and whether permissive licences meet it."""
+    found = licenses.license_scan(_table(spark, sf_dir, "documents")).withColumn("valid", F.expr("filter(expressions, e -> e.valid)"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
-                        F.array_join("labels", ",").alias("labels"), "score")
+                        F.array_join("labels", ",").alias("labels"), "score", F.array_join("valid.postfix", ";").alias("expressions"),
+                        F.expr("if(size(valid) = 0, null, forall(valid, e -> e.permissive))").alias("permissive"))
 
 
 def op8_minhash_dedup(spark, sf_dir):
