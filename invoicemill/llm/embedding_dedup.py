@@ -8,7 +8,8 @@ all sampled vectors with a link and over those with few partners. What meets in
 
 Codebooks are fitted on at most SAMPLE vectors; all vectors are filed and all are queries. The number of codewords follows the number of
 vectors, so that a cell holds about the same number of vectors at any size. Vectors that are equal are filed once, and a cell with very many vectors
-is cut into blocks that meet in pairs, each in a task of its own. Links leave a task as counts and as a spanning forest, never as all pairs.
+is cut into blocks that meet in pairs, each in a task of its own. Links leave a task as counts and as one link per vector to the smallest id it
+reaches there, never as all pairs.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ TARGET_RECALL = 0.995
 MOST_CELLS = 64             # cells a query visits, at most; beyond, fewer codewords are used
 BLOCK = 512
 PAIRS_AT_ONCE = 1 << 20
+MEMBERS = "vec_id bigint, n_links bigint, component_id bigint"
 
 
 def _nearest(x: np.ndarray, codebook: np.ndarray) -> np.ndarray:
@@ -54,7 +56,7 @@ def codebook(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 5) -> np.n
         distance = _nearest(x, centres)
         own = distance.argmin(1)
         count = np.bincount(own, minlength=len(centres))
-        sums = np.stack([np.bincount(own, x[:, j], len(centres)) for j in range(x.shape[1])], 1)
+        sums = np.array([np.bincount(own, x[:, j], len(centres)) for j in range(x.shape[1])]).reshape(x.shape[1], len(centres)).T
         centres[count > 0] = sums[count > 0] / count[count > 0, None]
         empty = np.flatnonzero(count == 0)
         if len(empty):
@@ -225,24 +227,30 @@ def _file(index):
     return run
 
 
-def _spanning(a: np.ndarray, b: np.ndarray, parent: dict[int, int]) -> list[tuple[int, int]]:
-    kept = []
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = root(x), root(y)
-        if p != q:
-            parent[p] = q
-            kept.append((x, y))
-    return kept
+def reached(near: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that each row and each column of a matrix of links reaches, by passing on what is smallest so far."""
+    none = np.iinfo(np.int64).max
+    while True:
+        by_row = np.minimum(rows, np.where(near, columns[None, :], none).min(1))
+        by_column = np.minimum(columns, np.where(near, by_row[:, None], none).min(0))
+        if (by_row == rows).all() and (by_column == columns).all():
+            return rows, columns
+        rows, columns = by_row, by_column
+
+
+def _visited(visits: pa.ListArray, homes: np.ndarray) -> np.ndarray:
+    """A matrix: whether each row of ``visits`` holds each of the sorted ``homes``."""
+    values = visits.flatten().to_numpy()
+    row = np.repeat(np.arange(len(visits)), visits.value_lengths().to_numpy())
+    place = np.minimum(np.searchsorted(homes, values), len(homes) - 1)
+    hit = homes[place] == values
+    found = np.zeros((len(visits), len(homes)), bool)
+    found[row[hit], place[hit]] = True
+    return found
 
 
 def _meet(cosine: float):
-    """For each group (a cell's block of residents and a block of visitors): links as counts per vector, and a spanning forest (u, v).
+    """For each group (a cell's block of residents and a block of visitors): links as counts per vector, and (u, v): v is the smallest id that u reaches.
 
     A pair of different cells may meet in both of them; it is counted once for each side: for the visitor always, for the resident only if
     it does not itself visit the visitor's home.
@@ -256,26 +264,26 @@ def _meet(cosine: float):
             r, v = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             if not len(r) or not len(v):
                 continue
-            count, parent, forest = np.zeros(len(ids), np.int64), {}, []
-            seen = [set(visits[int(i)].as_py()) for i in r]
+            count, from_, to, own_visits = np.zeros(len(ids), np.int64), [], [], visits.take(pa.array(r))
             for at in range(0, len(v), max(1, PAIRS_AT_ONCE // len(r))):
                 some = v[at:at + max(1, PAIRS_AT_ONCE // len(r))]
                 near = (unit[some] @ unit[r].T >= cosine) & (ids[some][:, None] != ids[r][None, :])
                 if not near.any():
                     continue
                 count[some] += near @ copies[r]
-                strangers = np.flatnonzero(home[some] != home[r[0]])
-                for s in strangers[near[strangers].any(1)]:
-                    for j in np.flatnonzero(near[s]):
-                        if int(home[some[s]]) not in seen[j]:
-                            count[r[j]] += copies[some[s]]
-                p, q = np.nonzero(near)
-                forest += _spanning(ids[some][p], ids[r][q], parent)
+                strangers = np.flatnonzero((home[some] != home[r[0]]) & near.any(1))
+                if len(strangers):
+                    homes, own = np.unique(home[some[strangers]], return_inverse=True)
+                    count[r] += copies[some[strangers]] @ (near[strangers] & ~_visited(own_visits, homes)[:, own].T)
+                for own, least in zip((ids[some], ids[r]), reached(near, ids[some], ids[r])):
+                    joined = own != least
+                    from_.append(own[joined]), to.append(least[joined])
             counted = np.flatnonzero(count)
+            u, least = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (from_, to))
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([ids[counted], np.array([x for x, _ in forest], np.int64)]), pa.int64()),
-                pa.array([None] * len(counted) + [y for _, y in forest], pa.int64()),
-                pa.array(np.concatenate([count[counted], np.zeros(len(forest), np.int64)]), pa.int64())], names)
+                pa.array(np.concatenate([ids[counted], u]), pa.int64()),
+                pa.concat_arrays([pa.nulls(len(counted), pa.int64()), pa.array(least, pa.int64())]),
+                pa.array(np.concatenate([count[counted], np.zeros(len(u), np.int64)]), pa.int64())], names)
     return run
 
 
@@ -295,21 +303,9 @@ def _fitted(classes: DataFrame, total: int, dim: int, cosine: float, sample: int
     return index
 
 
-def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE,
-                    sample: int = SAMPLE, target: float = TARGET_RECALL, queries: int = QUERIES) -> DataFrame:
-    """One row per distinct id: id, n_links, component_id, kept.
-
-    n_links counts the other vectors with a cosine of at least ``cosine`` that were found, component_id is the smallest id that links reach. Null and zero vectors,
-    ones with null or non-finite components and ones whose length differs from the most common one link with nothing. Of rows that
-    repeat an id the vector that sorts first is taken; rows with a null id are each returned with no links, component_id null and kept true.
-    Other columns are not looked at.
-    """
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    known = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    known = written(known, "vectors")
-    size = known.where("vector is not null").groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    dim = size[0][0] if size else 0
+def _of_length(known: DataFrame, dim: int, cosine: float, sample: int, target: float, queries: int) -> DataFrame:
+    """(vec_id, n_links, component_id) of the vectors of one length that may link; each length has an index of its own."""
+    spark = known.sparkSession
     unit = written(known.mapInArrow(_unit(dim), "vec_id bigint, unit array<double>"), "unit-vectors")
     classes = unit.groupBy("unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
     classes = written(classes, "vector-classes")
@@ -326,7 +322,26 @@ def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     found = components(links.where("v is not null").select("u", "v"))
     placed = classes.select("unit", "vec_id", "copies").join(counts, F.col("vec_id") == F.col("u"), "left").join(found, F.col("vec_id") == F.col("node"), "left").select(
         F.col("unit").alias("of_unit"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    members = unit.join(placed, F.col("unit") == F.col("of_unit")).select("vec_id", "n_links", "component_id")
+    return unit.join(placed, F.col("unit") == F.col("of_unit")).select("vec_id", "n_links", "component_id")
+
+
+def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE,
+                    sample: int = SAMPLE, target: float = TARGET_RECALL, queries: int = QUERIES) -> DataFrame:
+    """One row per distinct id: id, n_links, component_id, kept.
+
+    n_links counts the other vectors with a cosine of at least ``cosine`` that were found, component_id is the smallest id that links reach. Null and zero vectors,
+    ones with null or non-finite components link with nothing, and vectors of different lengths do not link; every length costs jobs of its own. Of rows that
+    repeat an id the vector that sorts first is taken; rows with a null id are each returned with no links, component_id null and kept true.
+    Other columns are not looked at.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    known = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    known = written(known, "vectors")
+    lengths = [r[0] for r in known.where("size(vector) > 0").select(F.size("vector")).distinct().collect()]
+    members = spark.createDataFrame([], MEMBERS)
+    for dim in sorted(lengths):
+        members = members.union(_of_length(known.where(F.size("vector") == dim), dim, cosine, sample, target, queries))
     every = known.select("vec_id").join(members, "vec_id", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     none = rows.where("vec_id is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -334,7 +349,7 @@ def embedding_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
 
 def _links(filed: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
-    """(u, null, n): u has n more links; (u, v, 0): a link."""
+    """(u, null, n): u has n more links; (u, v, 0): links lead from u to v."""
     home_blocks = filed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).alias("resident_blocks"))
     visiting = filed.select("vec_id", "copies", "home", "visits", F.explode("visits").alias("cell"))
     visit_blocks = visiting.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("visitor_blocks"))
