@@ -128,6 +128,32 @@ def test_embedding_empty(spark):
 CHANGES = "op string, doc_id bigint, source string, lang string, tokenizer_version string, tokens bigint, documents int, part string"
 
 
+def test_vectors_of_all_lengths(spark):
+    """Vectors are compared within their length; components and counts against brute force."""
+    r = np.random.default_rng(8)
+    vectors = {1: [2.0], 2: [3.0], 3: [-1.0], 4: [], 5: [], 6: None, 7: [0.0, 0.0, 0.0], 8: [1.0, 2.0, 3.0], 9: [1.0, 2.0, 3.0], 10: [1.0, 2.0, None], 11: [1.0, float("nan"), 0.0]}
+    for i in range(60):
+        vectors[20 + i] = (np.eye(16)[i % 5] + 0.12 * r.standard_normal(16)).tolist()
+    docs = spark.createDataFrame([(i, v, "x", 1) for i, v in vectors.items()], "vec_id bigint, embedding array<double>, unit string, side int")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors.items() if v and None not in v and np.isfinite(v).all() and np.any(v)}
+    linked = {i: {j for j, b in unit.items() if j != i and len(a) == len(b) and a @ b >= 0.9} for i, a in unit.items()}
+    want = {}
+    for i in vectors:
+        found, todo = {i}, [i]
+        while todo:
+            for j in linked.get(todo.pop(), ()):
+                if j not in found:
+                    found.add(j), todo.append(j)
+        want[i] = (len(linked.get(i, ())), min(found), min(found) == i)
+    assert {x["vec_id"]: (x["n_links"], x["component_id"], x["kept"]) for x in near.embedding_dedup(docs).collect()} == want
+
+
+def test_smallest_id_reached():
+    rows, columns = near.reached(np.eye(4, dtype=bool) | np.eye(4, k=1, dtype=bool), np.array([9, 8, 7, 6]), np.array([15, 14, 13, 12]))
+    assert rows.tolist() == [6] * 4 and columns.tolist() == [6] * 4
+    assert near.reached(np.zeros((1, 2), bool), np.array([3]), np.array([1, 2]))[0].tolist() == [3]
+
+
 def test_rollup_against_recount(spark):
     r = random.Random(2)
     totals, state = rollup.Rollup(spark, new_folder(spark, "rollup-test")), {}
@@ -166,6 +192,22 @@ def test_broken_batch_is_written_anew(spark):
     assert [tuple(r) for r in empty.totals().collect()] == [("a", "en", "v", 1, 4)]
 
 
+def test_an_old_folder_opened_afresh(spark):
+    """A new process knows what is committed from the folder alone; runs stay few, and removed documents stay removed through their merging."""
+    folder = new_folder(spark, "rollup-test")
+    row = lambda op, doc, n: (op, doc, "a", "en", "v", n, 1, "p")
+    for i in range(6):
+        rows = [row(rollup.INSERT, i, 10), row(rollup.INSERT, 100, i)] + ([row(rollup.DELETE, i - 1, None)] if i % 2 else [])
+        changes = spark.createDataFrame(rows, CHANGES)
+        rollup.Rollup(spark, folder).commit(f"b{i}", changes)
+        rollup.Rollup(spark, folder).commit(f"b{i}", changes)                               # a replay by another process
+        assert len(rollup.Rollup(spark, folder).runs) <= 3
+    opened = rollup.Rollup(spark, folder)
+    assert opened.history == tuple(f"b{i}" for i in range(6))
+    assert [tuple(r) for r in opened.totals().collect()] == [("a", "en", "v", 4, 35)]
+    assert [tuple(r) for r in rollup.Rollup(spark, folder, ("b0",)).commit("b6", spark.createDataFrame([row(rollup.DELETE, 100, 0)], CHANGES)).totals().collect()] == [("a", "en", "v", 3, 30)]
+
+
 def test_counts_are_the_tokenizers(spark):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("word_bpe_49k.json")
