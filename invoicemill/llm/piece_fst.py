@@ -20,8 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from invoicemill.llm.texts import mix, runs_of_rows, text_bytes
+from invoicemill.llm.texts import beside_text, mix, runs_of_rows, text_bytes
 from invoicemill.llm.word_ids import RunIds, ragged
 
 MARK = "▁"
@@ -105,7 +106,29 @@ class _Pairs:
         self.codes[target], self.fit[target] = codes[order], fit[order]
 
 
+class PieceOutputs:
+    """The output side: the bytes of every id, and texts from ids."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        out = []
+        for i in range(model.get_piece_size()):
+            special = model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
+            piece = model.id_to_piece(i)
+            out.append(b"" if special else bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(MARK, " ").encode())
+        self.n = np.array([len(x) for x in out])
+        self.at, self.out = np.cumsum(self.n) - self.n, np.frombuffer(b"".join(out), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The text of ids: bytes of all pieces, without the blank that every text begins with."""
+        out = self.out[ragged(self.at[ids], self.n[ids])].tobytes()
+        return out[1:] if out[:1] == b" " else out
+
+
 class PieceTransducer(RunIds):
+    most_words = 400_000        # kept per worker (about 20 MB)
+
     def __init__(self, path: str):
         super().__init__()
         import sentencepiece
@@ -130,12 +153,6 @@ class PieceTransducer(RunIds):
             self.arcs.append((keys[order], np.array([self.id_of[p] for p in pieces], np.int64)[order]))
         self.pairs = _Pairs()
         self.size, self.byte_weight = size, UNKNOWN_PENALTY - float(self.score[list(self.piece_of)].min())
-        # Output side, for decoding: the bytes of every id.
-        out = [self.piece_of[i].replace(MARK, " ").encode() if i in self.piece_of else b"" for i in range(size)]
-        for b, i in enumerate(self.byte_id.tolist()):
-            out[i] = bytes([b])
-        self.out_n = np.array([len(x) for x in out])
-        self.out_at, self.out = np.cumsum(self.out_n) - self.out_n, np.frombuffer(b"".join(out), np.uint8)
 
     # ---- composition with one run: a begin of a word and what follows ----
 
@@ -318,13 +335,15 @@ class PieceTransducer(RunIds):
             found.append(self.encode_part(data[a:b], np.zeros(1, np.int64))[2])
         return np.concatenate(found) if found else np.zeros(0, np.int32)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The text of ids: bytes of all pieces, without the blank that every text begins with."""
-        out = self.out[ragged(self.out_at[ids], self.out_n[ids])].tobytes()
-        return out[1:] if out[:1] == b" " else out
-
 
 _loaded: dict[str, PieceTransducer] = {}
+_loaded_outputs: dict[str, PieceOutputs] = {}
+
+
+def _outputs(path: str) -> PieceOutputs:
+    if path not in _loaded_outputs:
+        _loaded_outputs[path] = PieceOutputs(path)
+    return _loaded_outputs[path]
 
 
 def transducer(path: str) -> PieceTransducer:
@@ -347,34 +366,38 @@ def _encode(path: str):
                     starts = np.cumsum([0, *map(len, texts)])
                     begins, n, ids = model.encode_part(np.frombuffer(b"".join(texts), np.uint8), starts[:-1])
                     edges = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(begins, starts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(
-                    pa.array(edges.astype(np.int32)), pa.array(ids.astype(np.int32)))], ["row", "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(first, last - first) for i in (0, 1)), pa.ListArray.from_arrays(
+                    pa.array(edges.astype(np.int32)), pa.array(ids.astype(np.int32)))], ["row", "text", "ids"])
+            del batch, data
+            pa.default_memory_pool().release_unused()
     return run
 
 
 def encode(docs: DataFrame, model: str, *, text_col: str = "text") -> DataFrame:
     """Adds ``ids``, the piece ids of the text. A null or empty text has none. ``model`` is the path of a model file, the same on all executors.
     Every row is encoded for itself; its columns are kept, an ``ids`` of its own is replaced."""
-    kept = [c for c in docs.columns if c != "ids"]
-    rows = docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_encode(model), f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>").select("row.*", "ids")
+    rows, schema, columns = beside_text(docs, text_col, ("ids",))
+    return rows.mapInArrow(_encode(model), schema.add("ids", ArrayType(IntegerType()))).select(*columns, "ids")
 
 
 def _decode(path: str):
     def run(batches):
-        model = transducer(path)
+        model = _outputs(path)
         for batch in batches:
-            texts = [model.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode(errors="replace") for t in texts], pa.string())], ["row", "decoded"])
+            for first in range(0, len(batch), 256):
+                part = batch.slice(first, 256)
+                texts = [model.decode(x.values.to_numpy()) if x.is_valid else b"" for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([t.decode(errors="replace") for t in texts], pa.string())], ["row", "text", "decoded"])
+            del batch, part
+            pa.default_memory_pool().release_unused()
     return run
 
 
 def decode(rows: DataFrame, model: str, *, ids_col: str = "ids") -> DataFrame:
     """Adds ``decoded``, the text of the ids; bytes that are no UTF-8 become replacement characters. Null ids give an empty text.
     A mark (U+2581) in a text is encoded as a blank and is read back as one."""
-    kept = [c for c in rows.columns if c != "decoded"]
-    packed = rows.select(F.struct(*kept).alias("row"), F.col(ids_col).alias("ids"))
-    return packed.mapInArrow(_decode(model), f"row {packed.schema['row'].dataType.simpleString()}, decoded string").select("row.*", "decoded")
+    packed, schema, columns = beside_text(rows, ids_col, ("decoded",))
+    return packed.mapInArrow(_decode(model), schema.add("decoded", "string")).select(*columns, "decoded")
 
 
 def ids_crc32(ids) -> int:

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 PART_BYTES = 1 << 20       # bytes hashed at once; a longer text is cut at white space, whole words stay whole
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -102,6 +104,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[where[0]:where[-1]], where - where[0]
 
 
+def beside_text(docs: DataFrame, text_col: str, replaced: tuple[str, ...]) -> tuple[DataFrame, StructType, list[Column]]:
+    """(rows of ``row``, the other columns in a struct, and ``text``; their schema; the columns as they were, without those replaced).
+
+    So a text (or a list of ids) goes to the Python worker and back once, though it is both a column to keep and the one to look at.
+    """
+    kept = [c for c in docs.columns if c not in replaced]
+    others = [c for c in kept if c != text_col]
+    rows = docs.select((F.struct(*others) if others else F.lit(0)).alias("row"), F.col(text_col).alias("text"))
+    return rows, StructType(list(rows.schema.fields)), [(F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in kept]
+
+
 def runs_of_rows(where: np.ndarray, size: int = PART_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes each; a longer row stands alone."""
     first, rows = 0, len(where) - 1

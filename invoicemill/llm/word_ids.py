@@ -13,7 +13,7 @@ import numpy as np
 
 from invoicemill.llm.texts import hash_runs, parts, word_bounds
 
-CACHE_WORDS = 2_000_000     # words kept per worker (about 40 MB); a full cache starts anew
+CACHE_WORDS = 1_000_000     # words kept per worker (about 40 MB); a full cache starts anew
 
 _loaded: dict[str, "WordIds"] = {}
 
@@ -34,6 +34,8 @@ def held(known: np.ndarray, values: np.ndarray) -> np.ndarray:
 class RunIds:
     """A cache from runs of bytes (by hash) to their ids, in sorted arrays. ``bounds`` and ``ids_of`` say what a run is and what ids it has."""
 
+    most_words = CACHE_WORDS
+
     def __init__(self) -> None:
         self._clear()
 
@@ -63,7 +65,7 @@ class RunIds:
         begins, ends = self.bounds(data, starts)
         hashes = hash_runs(data, begins, ends)
         distinct, first = np.unique(hashes, return_index=True)
-        if len(self.known) + len(distinct) > CACHE_WORDS:
+        if len(self.known) + len(distinct) > self.most_words:
             self._clear()
         new = ~held(self.known, distinct)
         if new.any():
