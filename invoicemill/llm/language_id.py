@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from invoicemill.llm.texts import mix
+from invoicemill.llm.texts import beside_text, mix, runs_of_rows, text_bytes
 
 ORDER = 4
 SAMPLE_DOCS = 500
@@ -32,7 +32,7 @@ LANGUAGES = 400              # most languages drawn; more raise an error
 CALIBRATION_SHARE = 4        # one of so many sampled documents calibrates
 MARGIN = 8.0                 # deviations beyond the calibration documents' mean
 SLACK = 1.6                  # and at least so many times their mean
-PART = 1 << 19               # characters scored at once
+PART = 1 << 16               # characters scored at once
 UNDETERMINED = "und"
 BLANK = 32
 
@@ -227,12 +227,19 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     return fit(samples)
 
 
+ADDED = ("lang_pred", "score", "rejected")
+
+
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.predict(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_())))],
-                                             ["row", "lang_pred", "score", "rejected"])
+            for first, last in runs_of_rows(text_bytes(batch.column(1))[1]):
+                part = batch.slice(first, last - first)
+                found = [model.value.predict(x.as_py()) for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_())))],
+                                                 ["row", "text", *ADDED])
+            del batch, part
+            pa.default_memory_pool().release_unused()
     return run
 
 
@@ -246,10 +253,8 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFra
     A null text and a text without a letter is ``und``, with score 0 and rejected. A model without languages says ``und`` to everything. The columns of
     the input are kept; those that have one of the three names are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     if not model.languages:
-        return _only_undetermined(docs.select(*kept))
+        return _only_undetermined(docs.select(*[c for c in docs.columns if c not in ADDED]))
+    rows, schema, columns = beside_text(docs, text_col, ADDED)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("text"))
-    schema = f"row {docs.select(F.struct(*kept).alias('row')).schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean"
-    return rows.mapInArrow(_predict(shared), schema).select("row.*", "lang_pred", "score", "rejected")
+    return rows.mapInArrow(_predict(shared), schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")).select(*columns, *ADDED)
