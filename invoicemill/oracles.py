@@ -6,6 +6,8 @@ instead of ranges, integer cents instead of decimal division.
 
 from __future__ import annotations
 
+from invoicemill.functions import fixed_values as fv
+
 AS_OF = "DATE '2001-08-01'"
 SPLIT = "TIMESTAMP '2000-01-01 00:00:00'"
 
@@ -384,7 +386,7 @@ STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) ||
 
 
 def pattern(p: str) -> str:
-    inside = p.replace(r"[\w\-]", r"[\p{L}\p{N}_\-]").replace(r"[\-\s\.]", r"[\-\.\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]")
+    inside = p.replace(r"[\w\-]", r"[\p{L}\p{N}_\-]").replace(r"[\s\-\.]", r"[\s\-\.\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]")
     inside = inside.replace(r"[\-\s]", r"[\-\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]").replace(r"[A-Za-z\s]", r"[A-Za-z\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]")
     out, i = "", 0
     depth = 0
@@ -415,7 +417,7 @@ def found(x: str, p: str, group: int = 1, flags: str = "(?i)") -> str:
     return f"nullif({stripped(f'''regexp_extract({x}, '{flags}{pattern(p)}', {group})''')}, '')"
 
 
-PHONE = r"\(?\d{3}\)?[\s\-\.]?\d{3}[\s\-\.]?\d{4}".replace(r"[\s\-\.]", r"[\-\s\.]")
+PHONE = fv.PHONE_PATTERN
 EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 CITY = r"([A-Za-z\s]+),\s*([A-Z]{2})\s+(\d{5}(?:-\d{4})?)"
 TOTAL = r"^.*(?:TOTAL\s*(?:DUE|AMOUNT)?|Amount\s*Due)\s*:?\s*\$?([\d,]+\.\d{2})"
