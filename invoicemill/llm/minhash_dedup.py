@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from invoicemill.llm.components import components
 from invoicemill.llm.texts import groups, lower_ascii, mix, runs_of_rows, text_bytes, word_hashes
@@ -227,7 +227,9 @@ class _Lists:
     def __init__(self, docs: DataFrame, sketches: DataFrame, words: int, k: int, tau: int, percent: int):
         self.k, self.tau, self.percent = k, tau, percent
         held = sketches.select("doc_id", "n_shingles", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
-        shared = held.withColumn("lists", F.count("*").over(Window.partitionBy("value"))).where("lists > 1")
+        # Counted map-side and joined back: a value that very many classes retain is split by the join, as a window could not be.
+        often = written(held.groupBy("value").agg(F.count("*").alias("lists")).where("lists > 1"), "frequent-values")
+        shared = held.join(often, "value")
         small = k * percent // 100
         least = F.when(F.col("n_shingles") <= small, F.ceil(F.col("n_shingles") * percent / 100)).otherwise(tau)
         # Rank in the order of rising frequency: values held once come first, and they are not in ``shared``.
