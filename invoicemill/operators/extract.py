@@ -102,9 +102,14 @@ _CELLS = _CELL_MARK.join(f"${group}" for group in range(1, 5))
 
 
 def _cells(line: Column) -> Column:
+    """One pass per form where the mark cannot be met in the line; a line that holds it is taken group by group."""
     wide = F.regexp_replace(line, rx(fv.ITEM_WIDE_PATTERN), _CELLS)
     narrow = F.regexp_replace(line, rx(fv.ITEM_NARROW_PATTERN), _CELLS)
-    return F.split(F.when(wide != line, wide).otherwise(narrow), _CELL_MARK)
+    marked = F.split(F.when(wide != line, wide).otherwise(narrow), _CELL_MARK)
+    by_group = lambda pattern: F.array(*[F.regexp_extract(line, rx(pattern), group) for group in range(1, 5)])
+    apart = F.when(line.rlike(rx(fv.ITEM_WIDE_PATTERN)), by_group(fv.ITEM_WIDE_PATTERN)).when(
+        line.rlike(rx(fv.ITEM_NARROW_PATTERN)), by_group(fv.ITEM_NARROW_PATTERN)).otherwise(F.array(line))
+    return F.when(F.instr(line, _CELL_MARK) > 0, apart).otherwise(marked)
 
 
 def item_cells(text: Column) -> Column:

@@ -113,18 +113,19 @@ def judged_headers(spark: SparkSession, sf_dir: str, faults: bool = True) -> Dat
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items of every order, numbered from 1 within it."""
+    """Line items of every order, numbered from 1 within it. A value that does not fit its column is NULL, and so is the price of a line
+    without a quantity."""
     lines = numbers_within(table(spark, sf_dir, "lineitem"), "l_orderkey", LINE_ORDER, "line_number")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     lines = join_to_unique(lines, parts, "l_partkey", spread=["l_orderkey", "line_number"])
-    quantity, amount = F.col("l_quantity").cast(QUANTITY), F.col("l_extendedprice").cast(MONEY)
+    quantity, amount = F.col("l_quantity").try_cast(QUANTITY), F.col("l_extendedprice").try_cast(MONEY)
     document = _text("l_orderkey")
     return lines.select(
         F.concat(document, F.lit("-"), F.when(F.col("line_number") > 999, _text("line_number")).otherwise(
             F.lpad(_text("line_number"), 3, "0"))).alias("line_item_id"),
         document.alias("document_id"), "line_number",
         F.concat("p_name", F.lit(" #"), _text("l_partkey")).alias("description"),
-        quantity.alias("quantity"), F.round(amount / quantity, 2).cast(MONEY).alias("unit_price"),
+        quantity.alias("quantity"), F.round(F.try_divide(amount, quantity), 2).try_cast(MONEY).alias("unit_price"),
         amount.alias("line_amount"))
 
 

@@ -173,3 +173,11 @@ def test_default_amount(spark):
         x.default_amount(F.col("q"), F.col("p"), F.col("a")).alias("x"),
         x.default_amount(F.col("q"), F.col("p"), F.col("b")).alias("y")).first()
     assert row.x == D("50.00") and row.y == D("7.00")
+
+
+@pytest.mark.parametrize("gap", ["    ", " "])
+def test_item_line_that_holds_the_cell_mark(spark, gap):
+    line = f"Cable\x00 tie{gap}2{gap}3.50{gap}7.00"
+    items = one(spark, line, lambda c: x.line_items(x.item_cells(c)))
+    assert [tuple(i) for i in items] == [(1, "Cable\x00 tie", D(2), D("3.50"), D("7.00"))]
+    assert one(spark, "no\x00thing costs 7.00", lambda c: x.line_items(x.item_cells(c))) == []
