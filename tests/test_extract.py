@@ -181,3 +181,13 @@ def test_item_line_that_holds_the_cell_mark(spark, gap):
     items = one(spark, line, lambda c: x.line_items(x.item_cells(c)))
     assert [tuple(i) for i in items] == [(1, "Cable\x00 tie", D(2), D("3.50"), D("7.00"))]
     assert one(spark, "no\x00thing costs 7.00", lambda c: x.line_items(x.item_cells(c))) == []
+
+
+def test_items_are_worked_out_once(spark):
+    """Spark must not push a filter that works the items out a second time below the projections."""
+    texts = spark.createDataFrame([("a", "Widget  2  1.00  2.00\nGadget  1  3.00  3.00"), ("b", "no items"), ("c", None)], "document_id string, raw_text string")
+    items = x.explode_items(x.extract(texts))
+    assert [(r.document_id, r.line_number, r.description) for r in items.collect()] == [("a", 1, "Widget"), ("a", 2, "Gadget")]
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    once = x.extract(texts).select("line_items")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == once.count("regexp_extract_all") == 1
