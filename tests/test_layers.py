@@ -202,3 +202,20 @@ def test_large_quantity_is_rejected(spark, folder, tmp_path):
     lost = out["silver/parsed_line_items"].where("quantity is null").count()
     assert lost == 0 or [r.reason for r in out["rejects/extraction"].collect()] == ["line_item_out_of_range"]
     assert lost == 1
+
+
+def test_dry_run_reads_texts_once(spark, folder, tmp_path):
+    """What a dry run returns comes from records that were worked out once, not from the texts."""
+    out = Layers(spark, str(tmp_path / "never")).load(files.accepted(files.read_folder(spark, folder)), as_of=AS_OF, dry_run=True)
+    for name in ("silver/parsed_line_items", "gold/fact_invoice_summary", "gold/fact_invoice_line_items", "gold/dim_vendors"):
+        assert "regexp_extract" not in out[name]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_texts_can_be_split(spark, tmp_path):
+    """Texts of one stored file are many row groups, so that more than one task can read them."""
+    import pyarrow.parquet as pq
+
+    texts = spark.range(0, 20_000, 1, 1).select(F.col("id").cast("string").alias("document_id"), F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f":{n}")), 512) for n in range(8)]).alias("text"))
+    Layers(spark, str(tmp_path)).load(texts, as_of=AS_OF)
+    parts = list((tmp_path / "bronze" / "raw_documents").rglob("*.parquet"))
+    assert sum(pq.ParquetFile(p).num_row_groups for p in parts) >= 4
