@@ -51,7 +51,7 @@ def _no_audit(df: DataFrame) -> DataFrame:
 # ---- star schema ----
 
 def stg_invoices(spark, sf_dir):
-    return star.stg_parsed_invoices(ot.silver(spark, sf_dir)[0])
+    return star.stg_parsed_invoices(ot.silver_headers(spark, sf_dir))
 
 
 def stg_line_items(spark, sf_dir):
@@ -114,7 +114,7 @@ def top_line_items(spark, sf_dir):
 
 
 def recent_submissions(spark, sf_dir):
-    return reports.recent_submissions(ot.silver(spark, sf_dir)[0])
+    return reports.recent_submissions(ot.silver_headers(spark, sf_dir))
 
 
 def loader_summary(spark, sf_dir):
@@ -137,7 +137,7 @@ def dq_report_faulty(spark, sf_dir):
 
 def totals_mismatch(spark, sf_dir):
     """Run on the cleaned layer, where totals that do not add up still are."""
-    invoices = ot.silver(spark, sf_dir)[0]
+    invoices = ot.silver_headers(spark, sf_dir)
     return quality.totals_mismatch(invoices.withColumnRenamed("document_id", "document_key"))
 
 
@@ -184,7 +184,7 @@ def completion_rate(spark, sf_dir):
 # ---- keys, currency, edits, upsert ----
 
 def vendor_id_sha16(spark, sf_dir):
-    return ot.silver(spark, sf_dir)[0].select(
+    return ot.silver_headers(spark, sf_dir).select(
         "document_id", identity.vendor_id_incremental(F.col("vendor_name"), F.col("vendor_address")).alias("vendor_id"))
 
 
@@ -218,18 +218,18 @@ def _edits(spark, sf_dir):
 
 
 def edits_applied(spark, sf_dir):
-    changed = edits.apply_edits(ot.silver(spark, sf_dir)[0], _edits(spark, sf_dir))
+    changed = edits.apply_edits(ot.silver_headers(spark, sf_dir), _edits(spark, sf_dir))
     return changed.select("document_id", "invoice_number", "po_number", "due_date", "vendor_name", "vendor_phone",
                           "validation_status")
 
 
 def edits_log(spark, sf_dir):
-    return edits.change_log(ot.silver(spark, sf_dir)[0], _edits(spark, sf_dir))
+    return edits.change_log(ot.silver_headers(spark, sf_dir), _edits(spark, sf_dir))
 
 
 def vendor_upsert(spark, sf_dir):
     """Invoices before a day build the dimension, the later ones are merged into it."""
-    fit = layers.gold_accepted(ot.silver(spark, sf_dir)[0])
+    fit = layers.gold_accepted(ot.silver_headers(spark, sf_dir))
     early = F.col("parse_timestamp") < F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
     day = lambda text: (F.lit(text).cast("date"), F.lit(text).cast("timestamp_ntz"))
     current = upsert.upsert_vendors(upsert.empty_vendors(fit), fit.where(early), *day(UPSERT_SPLIT))
@@ -325,7 +325,7 @@ def silver_invoices(spark, sf_dir):
 
 
 def silver_line_items(spark, sf_dir):
-    invoices = ot.silver(spark, sf_dir)[0].select("document_id", "parse_confidence", "line_item_count")
+    invoices = ot.silver_headers(spark, sf_dir).select("document_id", "parse_confidence", "line_item_count")
     keyed = hot_keys.join_to_unique(ot.numbered_lines(spark, sf_dir), invoices.drop("line_item_count"), "document_id",
                                     spread=["line_item_id"], counts=ot.line_counts(invoices))
     return keyed.withColumnRenamed("parse_confidence", "extraction_confidence")

@@ -24,3 +24,13 @@ def test_lines_without_quantity_or_beyond_their_column(spark, tmp_path):
     assert empty.quantity == D(0) and empty.unit_price is None and empty.line_amount is not None
     assert large.line_amount is None and large.unit_price is None and large.quantity is not None
     assert all(r.unit_price is not None for r in got.values())
+
+
+def test_headers_land_without_lines(spark, tmp_path):
+    """Queries of headers alone do not wait for the lines; both are landed once."""
+    for name in ("customer", "nation", "region", "orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(50).write.parquet(f"{tmp_path}/{name}.parquet")
+    first = ot.silver_headers(spark, str(tmp_path))         # the table of parts, which only lines need, is not there
+    spark.read.parquet(f"{SF}/part.parquet").write.parquet(f"{tmp_path}/part.parquet")
+    invoices, lines = ot.silver(spark, str(tmp_path))
+    assert invoices is first and ot.silver(spark, str(tmp_path))[1] is lines
