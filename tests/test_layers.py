@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 from decimal import Decimal as D
 
 import pytest
@@ -219,3 +220,18 @@ def test_stored_texts_can_be_split(spark, tmp_path):
     Layers(spark, str(tmp_path)).load(texts, as_of=AS_OF)
     parts = list((tmp_path / "bronze" / "raw_documents").rglob("*.parquet"))
     assert sum(pq.ParquetFile(p).num_row_groups for p in parts) >= 4
+
+
+def test_every_row_is_written_as_a_file(spark, tmp_path):
+    """Nulls, copies and several calls keep their files, and no checksum file or process per file comes with them."""
+    texts = spark.createDataFrame([("a", "one\r\nline"), ("a", "again"), ("b", None), ("b", ""), ("c", "é")], "name string, value string")
+    for packed in ("none", "gzip"):
+        files.write_each(texts, str(tmp_path / "by name"), by="name", compression=packed)
+    files.write_each(texts, str(tmp_path / "flat"))
+    files.write_each(texts.limit(0), str(tmp_path / "nothing"))
+    found = lambda pattern, read: sorted((p.parent.name, read(p.read_bytes())) for p in tmp_path.glob(pattern))
+    expected = sorted((f"name={n}", ((v or "") + "\n").encode()) for n, v in texts.collect())
+    assert found("by name/*/*.txt", bytes) == found("by name/*/*.gz", gzip.decompress) == expected
+    assert [c for _, c in found("flat/*", bytes)] == sorted(c for _, c in expected) and not found("nothing/*", bytes)
+    assert files.read_folder(spark, str(tmp_path / "flat")).where("reject_reason is null").count() == 5
+    assert not found("by name/*/.*", bytes) + found("flat/.*", bytes)
