@@ -101,15 +101,15 @@ def headers(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
         "o_orderstatus", "o_orderpriority")
 
 
-def judged_headers(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
-    """Headers with confidence, rule results and status."""
+def judged_headers(spark: SparkSession, sf_dir: str, faults: bool = True, *, messages: bool = True) -> DataFrame:
+    """Headers with confidence, rule results (``messages``: whole ones) and status."""
     rows = headers(spark, sf_dir, faults)
     rows = rows.withColumn("parse_confidence", confidence(
         number=F.col("invoice_number"), vendor_name=F.col("vendor_name"), total=F.col("total_amount"),
         issued=F.col("invoice_date"), due=F.col("due_date"), item_count=F.col("line_item_count"),
         items_total=F.col("line_items_total"), bill_to_name=F.col("bill_to_name"), po=F.col("po_number"),
         subtotal=F.col("subtotal"), tax_amount=F.col("tax_amount")))
-    return validate(rows, as_of=AS_OF)
+    return validate(rows, as_of=AS_OF, messages=messages)
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
