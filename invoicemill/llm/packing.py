@@ -25,6 +25,7 @@ from invoicemill.session import written
 
 WINDOW = 4096
 END_ID = 2
+PART = 1 << 19              # bytes encoded at once: hashes and places of words take some 100 times as much
 SLICES = 256                # slices in which the documents of one length are numbered
 
 
@@ -76,9 +77,9 @@ def _pieces(path: str, window: int, end_id: int, with_ids: bool):
         encoder, end = word_ids(path), np.array([end_id], np.int32)
         for batch in batches:
             data, where = text_bytes(batch.column(1))
-            for first, last in runs_of_rows(where):
+            for first, last in runs_of_rows(where, PART):
                 if last - first == 1:
-                    ids = encoder.encode(data[where[first]:where[last]])
+                    ids = encoder.encode(data[where[first]:where[last]], PART)
                     edges = np.array([0, len(ids)])
                 else:
                     ids, edges = encoder.encode_rows(data[where[first]:where[last]], where[first:last + 1] - where[first])
@@ -95,6 +96,8 @@ def _pieces(path: str, window: int, end_id: int, with_ids: bool):
                 if with_ids:
                     columns.append(pa.array(kept, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][:len(columns)])
+            del batch, data
+            pa.default_memory_pool().release_unused()
     return run
 
 

@@ -11,10 +11,12 @@ import os
 
 import numpy as np
 
-from invoicemill.llm.texts import hash_runs, parts, word_bounds
+from invoicemill.llm.texts import PART_BYTES, hash_runs, parts, word_bounds
 
 CACHE_WORDS = 1_000_000     # words kept per worker (about 40 MB); a full cache starts anew
 
+ENCODED_AT_ONCE = 4096      # words; the tokenizer's record of one is some 1 KB
+
 _loaded: dict[str, "WordIds"] = {}
 
 
@@ -47,7 +49,7 @@ class RunIds:
         raise NotImplementedError
 
     def _clear(self) -> None:
-        self.known, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.ids, self.used = np.zeros(1 << 16, np.int32), 0
 
     def _learn(self, hashes: np.ndarray, runs: list[bytes]) -> None:
@@ -75,9 +77,9 @@ class RunIds:
         n = self.n[place]
         return begins, n, self.ids[ragged(self.at[place], n)]
 
-    def encode(self, data: np.ndarray) -> np.ndarray:
-        """All ids of one text, whatever its length."""
-        found = [self.encode_part(part)[2] for part in parts(data)]
+    def encode(self, data: np.ndarray, size: int = PART_BYTES) -> np.ndarray:
+        """All ids of one text, whatever its length, from parts of some ``size`` bytes."""
+        found = [self.encode_part(part)[2] for part in parts(data, size)]
         return np.concatenate(found) if found else np.zeros(0, np.int32)
 
     def encode_rows(self, data: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +100,10 @@ class WordIds(RunIds):
         return word_bounds(data, starts)
 
     def ids_of(self, runs):
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in runs], add_special_tokens=False)]
+        found = []
+        for first in range(0, len(runs), ENCODED_AT_ONCE):
+            some = [r.decode() for r in runs[first:first + ENCODED_AT_ONCE]]
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         n = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, int(n.sum())), n
 

@@ -14,6 +14,8 @@ import pytest
 
 from invoicemill.llm import chat_format as chat, language_id, license_scan as licenses, minhash_dedup as near, packing, piece_fst, texts
 from invoicemill.llm.exact_dedup import exact_dedup
+from invoicemill.llm.queries import PACKING_VOCABULARY
+from invoicemill.llm.word_ids import WordIds
 from invoicemill.llm.line_dedup import line_dedup, without_dropped_lines
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, name string, count string, h bigint, id string, row string"
@@ -445,3 +447,20 @@ def test_empty_tables(spark):
     assert packing.pack(none, VOCABULARY).count() == licenses.license_scan(none).count() == 0
     assert language_id.predict(none, language_id.train(none)).count() == 0
     assert chat.conversation_digests(chat.chat_format(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string"))).count() == 0
+
+
+def test_words_are_encoded_a_few_at_a_time():
+    """The tokenizer keeps some 1 KB of each word that it is given at once."""
+    encoder, most = WordIds(PACKING_VOCABULARY()), []
+    whole = encoder.tokenizer
+    class Seen:
+        def encode_batch_fast(self, words, **options):
+            most.append(len(words))
+            return whole.encode_batch_fast(words, **options)
+    encoder.tokenizer = Seen()
+    text = " ".join(f"w{i}" for i in range(10_000))
+    ids = encoder.encode(np.frombuffer(text.encode(), np.uint8), 1 << 14)
+    assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids and max(most) <= 4096 and sum(most) == 10_000
+    del most[:]
+    encoder._clear()
+    assert encoder.encode(np.frombuffer(text.encode(), np.uint8)).tolist() == ids.tolist() and len(most) == 3
