@@ -22,25 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from invoicemill.llm.texts import beside_text, mix, runs_of_rows, text_bytes
+from invoicemill.llm.texts import beside_text, runs_of_rows, text_bytes
 from invoicemill.llm.word_ids import RunIds, ragged
 
 MARK = "▁"
 LONG = 96                   # characters of a word up to which words are composed side by side
 AT_ONCE = 1 << 20           # places times lengths looked up at once
-MOST_PAIRS = 2_000_000      # verdicts on neighbours kept per worker (18 MB); beyond it they start anew
+MOST_PAIRS = 2_000_000      # verdicts on neighbours kept per worker (38 MB at most); beyond it they start anew
 BPE, UNIGRAM = "bpe", "unigram"
 UNKNOWN_PENALTY = 10.0      # how much more than the rarest piece a byte-fallback character weighs, in a unigram model
-_FACTORS = mix(np.arange(501, 501 + 256, dtype=np.uint64)) | np.uint64(1)
-
-
-def _hash(codes: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the ``length`` code points that begin at each place, for every row of a matrix."""
-    n = codes.shape[1] - length + 1
-    total = np.full((codes.shape[0], n), length, np.uint64)
-    for i in range(length):
-        total += codes[:, i:i + n].astype(np.uint64) * _FACTORS[i]
-    return mix(total)
+NOTHING = (1 << 21) - 1     # where a word has ended; no character has this number
 
 
 def _fields(message: bytes):
@@ -74,36 +65,72 @@ def model_kind(path: str) -> str:
     return BPE if number == 2 else UNIGRAM
 
 
-class _Pairs:
-    """Verdicts on pairs of neighbours in sorted arrays: a large one, and a small one for those that came lately."""
+class _Table:
+    """Numbers (from 0) by keys (from 0): a key lies at the place its hash gives, or at the next free one. At most half of the places are taken."""
 
-    def __init__(self) -> None:
+    def __init__(self, dtype) -> None:
+        self.dtype = dtype
         self.clear()
 
     def clear(self) -> None:
-        self.codes, self.fit = [np.zeros(0, np.int64) for _ in range(2)], [np.zeros(0, bool) for _ in range(2)]
-
-    def look_up(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(known, verdict) of each code."""
-        known, fit = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
-        for own, verdicts in zip(self.codes, self.fit):
-            if len(own):
-                place = np.minimum(np.searchsorted(own, codes), len(own) - 1)
-                hit = own[place] == codes
-                known |= hit
-                fit |= hit & verdicts[place]
-        return known, fit
+        self._empty(16)
+
+    def _empty(self, bits: int) -> None:
+        self.bits, self.n = bits, 0
+        self.keys, self.numbers = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, self.dtype)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where it has none."""
+        at = self._home(keys)
+        held, found = self.keys[at], self.numbers[at]
+        wrong = np.flatnonzero(held != keys)
+        if len(wrong):
+            taken = held[wrong] >= 0
+            found[wrong] = -1
+            wrong = wrong[taken]
+        at = at[wrong]
+        while len(wrong):
+            at = at + 1 & len(self.keys) - 1
+            held = self.keys[at]
+            hit = held == keys[wrong]
+            found[wrong[hit]] = self.numbers[at[hit]]
+            on = ~hit & (held >= 0)
+            wrong, at = wrong[on], at[on]
+        return found
+
+    def learn(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Adds keys, each of them once and none that is there."""
+        if 2 * (self.n + len(keys)) > len(self.keys):
+            kept = self.keys >= 0
+            keys, numbers = np.concatenate([self.keys[kept], keys]), np.concatenate([self.numbers[kept], numbers])
+            self._empty((2 * len(keys)).bit_length())
+        self.n += len(keys)
+        at = self._home(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]        # of several keys for one place one stays, the others go on
+            own = self.keys[at] == keys
+            self.numbers[at[own]] = numbers[own]
+            keys, numbers, at = keys[~own], numbers[~own], at[~own] + 1 & len(self.keys) - 1
+
+
+class _Pairs(_Table):
+    """Verdicts on pairs of neighbours, at most MOST_PAIRS."""
+
+    def __init__(self) -> None:
+        super().__init__(np.int8)
+
+    @property
+    def codes(self) -> list[np.ndarray]:
+        return [self.keys[self.keys >= 0]]
 
     def learn(self, codes: np.ndarray, fit: np.ndarray) -> None:
-        if len(self.codes[0]) + len(self.codes[1]) + len(codes) > MOST_PAIRS:
+        if self.n + len(codes) > MOST_PAIRS:
             self.clear()
-        target = 1
-        if len(self.codes[1]) + len(codes) > 20_000:
-            codes, fit, target = np.concatenate([self.codes[1], codes]), np.concatenate([self.fit[1], fit]), 0
-            self.codes[1], self.fit[1] = self.codes[1][:0], self.fit[1][:0]
-        codes, fit = np.concatenate([self.codes[target], codes]), np.concatenate([self.fit[target], fit])
-        order = np.argsort(codes, kind="stable")
-        self.codes[target], self.fit[target] = codes[order], fit[order]
+        super().learn(codes[:MOST_PAIRS], fit[:MOST_PAIRS])
 
 
 class PieceOutputs:
@@ -144,13 +171,15 @@ class PieceTransducer(RunIds):
             raise ValueError("a piece goes on over the begin of a word")
         self.byte_id = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
         self.longest = max(map(len, self.id_of))
-        self.arcs = []
-        for length in range(1, self.longest + 1):
-            pieces = [p for p in self.id_of if len(p) == length]
-            rows = np.array([list(map(ord, p)) for p in pieces], np.uint32).reshape(len(pieces), length)
-            keys = _hash(rows, length)[:, 0] if len(pieces) else np.zeros(0, np.uint64)
-            order = np.argsort(keys)
-            self.arcs.append((keys[order], np.array([self.id_of[p] for p in pieces], np.int64)[order]))
+        # The arcs as a tree of characters: a state for each begin of a piece, and the piece that ends in a state.
+        states = {"": 0}
+        for piece in self.id_of:
+            for end in range(1, len(piece) + 1):
+                states.setdefault(piece[:end], len(states))
+        begins = list(states)[1:]
+        self.arcs = _Table(np.int32)
+        self.arcs.learn(np.array([states[x[:-1]] << 21 | ord(x[-1]) for x in begins], np.int64), np.arange(1, len(states)))
+        self.ends_in = np.array([self.id_of.get(x, -1) for x in states], np.int32)
         self.pairs = _Pairs()
         self.size, self.byte_weight = size, UNKNOWN_PENALTY - float(self.score[list(self.piece_of)].min())
 
@@ -169,67 +198,76 @@ class PieceTransducer(RunIds):
 
     def _neighbours(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """True where merging leaves the pieces ``left`` and ``right`` apart; left -1 is the begin, -2 a byte arc."""
-        code = np.where(left >= 0, left, self.size) * (self.size + 1) + right
-        known, fit = self.pairs.look_up(code)
-        if not known.all():
-            new, back = np.unique(code[~known], return_inverse=True)
-            verdicts = np.fromiter(map(self._apart, new.tolist()), bool, len(new))
-            fit[~known] = verdicts[back]
+        code = np.where(left >= 0, left, self.size).astype(np.int64) * (self.size + 1) + right
+        fit = self.pairs.look_up(code)
+        unknown = np.flatnonzero(fit < 0)
+        if len(unknown):
+            new, back = np.unique(code[unknown], return_inverse=True)
+            verdicts = np.fromiter(map(self._apart, new.tolist()), np.int8, len(new))
+            fit[unknown] = verdicts[back]
             self.pairs.learn(new, verdicts)
-        return fit
+        return fit > 0
 
     def _apart(self, code: int) -> bool:
         a, b = divmod(code, self.size + 1)
         parts = [self.piece_of[b]] if a == self.size else [self.piece_of[a], self.piece_of[b]]
         return self.merged("".join(parts)) == parts
 
-    def _pieces(self, codes: np.ndarray) -> list[np.ndarray]:
-        """For each length the id of the piece of that length that begins at each place, or -1."""
-        found = []
-        for length in range(1, min(self.longest, codes.shape[1]) + 1):
-            keys, ids = self.arcs[length - 1]
-            h = _hash(codes, length)
-            if not len(keys):
-                found.append(np.full(h.shape, -1, np.int32))
-                continue
-            place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            found.append(np.where(keys[place] == h, ids[place], -1).astype(np.int32))
+    def _pieces(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length (where pieces of that length begin, their ids). The words are the columns of ``codes``; places are numbered row by row."""
+        n, m = codes.shape
+        flat = codes.ravel().astype(np.int64)
+        at, state, found = np.flatnonzero(flat != NOTHING), 0, []
+        for length in range(1, min(self.longest, n) + 1):
+            if length > 1:
+                some = np.searchsorted(at, (n - length + 1) * m)        # further ones would go on below the last row
+                at, state = at[:some], state[:some]
+            state = self.arcs.look_up(state << 21 | flat[at + (length - 1) * m])
+            goes = np.flatnonzero(state > 0)
+            at, state = at[goes], state[goes].astype(np.int64)
+            ids = self.ends_in[state]
+            ended = np.flatnonzero(ids >= 0)
+            found.append((at[ended], ids[ended]))
         return found
 
     def _shortest(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Shortest paths of all rows (words, filled up with zeros): at each place the id of the piece that begins there, -1 if
-        none does, -2 - c if character c becomes bytes."""
-        m, n = codes.shape
+        """Shortest paths of all words (columns, filled up with NOTHING): in a row for each word, at each place the id of the piece that
+        begins there, -1 if none does, -2 - c if character c becomes bytes."""
+        n, m = codes.shape
         found = self._pieces(codes)
-        cost = np.full((m, n + 1), np.inf)
-        cost[:, 0] = 0
-        last, back = np.full((m, n + 1), -1, np.int64), np.zeros((m, n + 1), np.int64)
+        edges = [np.searchsorted(at, np.arange(n + 1) * m).tolist() for at, _ in found]
+        cost = np.full((n + 1, m), np.inf)
+        cost[0] = 0
+        last, back = np.full((n + 1, m), -1, np.int32), np.zeros((n + 1, m), np.int32)
         for j in range(1, n + 1):
-            for length in range(min(self.longest, j), 0, -1):
-                piece, before = found[length - 1][:, j - length], cost[:, j - length]
-                rows = np.flatnonzero((piece >= 0) & np.isfinite(before))
-                if self.kind == BPE:
-                    rows = rows[cost[rows, j] > before[rows]]
-                    rows = rows[self._neighbours(last[rows, j - length], piece[rows])] if len(rows) else rows
-                    total = before[rows]
-                else:
-                    total = before[rows] - self.score[piece[rows]]
-                better = total < cost[rows, j]
-                rows = rows[better]
-                cost[rows, j], last[rows, j], back[rows, j] = total[better], piece[rows], length
-            rows = np.flatnonzero((found[0][:, j - 1] < 0) & np.isfinite(cost[:, j - 1]) & (lengths >= j))
-            total = cost[rows, j - 1] + (0 if self.kind == BPE else self.byte_weight)
-            better = total < cost[rows, j]
-            rows = rows[better]
-            cost[rows, j], last[rows, j], back[rows, j] = total[better], -2, 1
-        path, at, rows = np.full((m, n), -1, np.int64), lengths.copy(), np.arange(m)
-        while len(rows):
-            j = at[rows]
-            begin = j - back[rows, j]
-            piece = last[rows, j]
-            path[rows, begin] = np.where(piece == -2, -2 - codes[rows, begin].astype(np.int64), piece)
-            at[rows] = begin
-            rows = rows[begin > 0]
+            for length in range(min(len(found), j), 0, -1):
+                begin, (at, ids) = j - length, found[length - 1]
+                first, end = edges[length - 1][begin:begin + 2]
+                if first == end:
+                    continue
+                words, piece = at[first:end] - begin * m, ids[first:end]
+                total = cost[begin, words] if self.kind == BPE else cost[begin, words] - self.score[piece]
+                better = np.flatnonzero(total < cost[j, words])
+                if self.kind == BPE and len(better):
+                    better = better[self._neighbours(last[begin, words[better]], piece[better])]
+                words = words[better]
+                cost[j, words], last[j, words], back[j, words] = total[better], piece[better], length
+            alone = codes[j - 1] != NOTHING
+            alone[found[0][0][edges[0][j - 1]:edges[0][j]] - (j - 1) * m] = False
+            words = np.flatnonzero(alone)
+            if len(words):
+                total = cost[j - 1, words] + (0 if self.kind == BPE else self.byte_weight)
+                better = total < cost[j, words]
+                words = words[better]
+                cost[j, words], last[j, words], back[j, words] = total[better], -2, 1
+        path, at, words = np.full((m, n), -1, np.int64), lengths.copy(), np.arange(m)
+        while len(words):
+            j = at[words]
+            begin = j - back[j, words]
+            piece = last[j, words]
+            path[words, begin] = np.where(piece == -2, -2 - codes[begin, words].astype(np.int64), piece)
+            at[words] = begin
+            words = words[begin > 0]
         return path
 
     def _shortest_long(self, codes: np.ndarray) -> np.ndarray:
@@ -241,11 +279,9 @@ class PieceTransducer(RunIds):
         for first in range(0, n, step):
             ending: list[list] = [[] for _ in range(min(step, n - first))]
             begin = max(0, first - longest + 1)
-            for length, ids in enumerate(self._pieces(codes[None, begin:first + step]), 1):
-                at = np.flatnonzero(ids[0] >= 0)
+            for length, (at, ids) in enumerate(self._pieces(codes[begin:first + step, None]), 1):
                 ends = at + begin + length - 1 - first
-                at, ends = at[ends >= 0], ends[ends >= 0]
-                for e, piece in zip(ends.tolist(), ids[0][at].tolist()):
+                for e, piece in zip(ends[ends >= 0].tolist(), ids[ends >= 0].tolist()):
                     ending[e].append((length, piece))
             for j, arcs in enumerate(ending, first + 1):
                 single = False
@@ -276,22 +312,25 @@ class PieceTransducer(RunIds):
         return path
 
     def ids_of(self, runs):
-        words = [r.decode().replace(" ", MARK) for r in runs]
-        lengths = np.array([len(w) for w in words])
+        joined = b"".join(runs)
+        every = np.frombuffer(joined.decode().replace(" ", MARK).encode("utf-32-le"), np.uint32)
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        lengths = np.add.reduceat(np.frombuffer(joined, np.uint8) & 0xC0 != 0x80, np.cumsum(sizes) - sizes, dtype=np.int64)
+        starts = np.cumsum(lengths) - lengths
         by_length = np.argsort(lengths, kind="stable")
-        n_ids, order, found, first = np.zeros(len(words), np.int64), [], [], 0
-        while first < len(words):
-            short = int(lengths[by_length[first]])
+        in_order = lengths[by_length]
+        n_ids, order, found, first = np.zeros(len(runs), np.int64), [], [], 0
+        while first < len(runs):
+            short = int(in_order[first])
             most = short if short > LONG else min(LONG, short + 1 + short // 4)
-            last = min(int(np.searchsorted(lengths[by_length], most, "right")), first + max(1, AT_ONCE // (most * min(most, self.longest)))) if short <= LONG else first + 1
+            last = min(int(np.searchsorted(in_order, most, "right")), first + max(1, AT_ONCE // (most * min(most, self.longest)))) if short <= LONG else first + 1
             some = by_length[first:last]
             first, own = last, lengths[some]
             if short > LONG:
-                path = self._shortest_long(np.frombuffer(words[some[0]].encode("utf-32-le"), np.uint32))[None, :]
+                path = self._shortest_long(every[starts[some[0]]:starts[some[0]] + short])[None, :]
             else:
-                n = int(own.max())
-                codes = np.zeros((len(some), n), np.uint32)
-                codes[np.arange(n) < own[:, None]] = np.frombuffer("".join(words[i] for i in some).encode("utf-32-le"), np.uint32)
+                n = np.arange(int(own.max()))[:, None]
+                codes = np.where(n < own, every[np.minimum(starts[some] + n, len(every) - 1)], np.uint32(NOTHING))
                 path = self._shortest(codes, own)
             begins = path != -1
             ids, count = path[begins], begins.sum(1)
@@ -306,7 +345,7 @@ class PieceTransducer(RunIds):
             n_ids[some] = count
             order.append(some), found.append(ids)
         laid, order = np.concatenate(found).astype(np.int32), np.concatenate(order)
-        begin = np.empty(len(words), np.int64)
+        begin = np.empty(len(runs), np.int64)
         begin[order] = np.cumsum(n_ids[order]) - n_ids[order]
         return laid[ragged(begin, n_ids)], n_ids
 

@@ -409,6 +409,40 @@ def test_long_runs_are_encoded_in_linear_time():
         piece_fst.MOST_PAIRS = most
 
 
+def test_places_are_left_where_no_piece_goes_on(tmp_path):
+    """A long piece in the vocabulary does not make every place of every word look for pieces of all lengths up to it."""
+    import sentencepiece
+    r = random.Random(5)
+    pieces = [(x, -1.0 - i) for i, x in enumerate(["\u2581", *"abcdz", "ab", "cd", "abc", "\u2581d"])]
+    words = " ".join("".join(r.choice("abcd") for _ in range(90)) for _ in range(120))
+    took = []
+    for name, more in (("short", []), ("long", [("z" * 80, -20.0)])):
+        path = _model_file(tmp_path / name, pieces + more, 2)
+        model, best = piece_fst.PieceTransducer(path), []
+        for _ in range(9):
+            model._clear()
+            begin = time.process_time()
+            got = model.encode(words.encode()).tolist()
+            best.append(time.process_time() - begin)
+        took.append(min(best))
+        assert got == sentencepiece.SentencePieceProcessor(model_file=path).encode(words)
+    assert took[1] < 3 * took[0]
+
+
+def test_table_of_numbers():
+    r = np.random.default_rng(2)
+    keys = r.permutation(np.unique(np.concatenate([np.arange(30_000), r.integers(0, 1 << 60, 200_000), np.arange(1000) << 44])))
+    numbers, table = r.integers(0, 1 << 30, len(keys)).astype(np.int32), piece_fst._Table(np.int32)
+    for first in range(0, len(keys) // 2, 999):
+        some = slice(first, min(first + 999, len(keys) // 2))
+        assert (table.look_up(keys[some]) == -1).all()
+        table.learn(keys[some], numbers[some])
+    half = len(keys) // 2
+    assert (table.look_up(keys) == np.where(np.arange(len(keys)) < half, numbers, -1)).all() and 2 * half <= len(table.keys)
+    table.clear()
+    assert (table.look_up(keys) == -1).all() and len(table.look_up(keys[:0])) == 0
+
+
 def test_word_hashes_cut_anywhere():
     data = np.frombuffer((prose(1, 500) + " " + "y" * 900 + " z").encode(), np.uint8)
     whole = texts.word_hashes(data)
