@@ -1,6 +1,7 @@
 """From raw documents to packed sequences: language ID, exact dedup, near dedup, packing.
 
-Each stage takes all that the one before it kept and returns the columns of documents; the last returns packed pieces.
+Each stage takes all that the one before it kept and returns the columns of documents; the last returns packed pieces. Each makes the session
+hand texts on in small batches (session.small_batches), unless the session has a size of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from invoicemill.llm import exact_dedup as exact, language_id, minhash_dedup as near, packing
 from invoicemill.llm.queries import PACKING_VOCABULARY
-from invoicemill.session import written
+from invoicemill.session import small_batches, written
 
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, str, str, Callable[[DataFrame], DataFrame]]:
@@ -34,6 +35,7 @@ def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A null text and a text without a letter have no language and go. Ids only draw what is learned from: rows with a null id are not learned from,
     repeated ids are judged row by row. Further columns stay as they are, whatever their names.
     """
+    small_batches(spark)
     rows, _, text, back = _plain(docs)
     judged = language_id.predict(rows, language_id.train(docs), text_col=text)
     return back(judged.where(~F.col("rejected")))
@@ -46,6 +48,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     as many documents, each decided by its own text. Of rows that repeat an id and a text the one whose other columns sort first stays (maps, which
     have no order, sort as JSON).
     """
+    small_batches(spark)
     judged = exact.exact_dedup(docs.select("doc_id", "text")).select("doc_id", F.unhex("text_sha256").alias("sha"), "kept")
     judged = written(judged.groupBy("doc_id", "sha", "kept").agg(F.count("*").alias("n")).where("not kept or n > 1"), "copies")
     rows, doc_id, text, back = _plain(docs)
@@ -67,6 +70,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A document without an id has no links and stays, and so does one whose text is null or has no words. An id with several texts is as many
     documents, each compared by its own text; of those of one id that links connect the text with the least hash stays.
     """
+    small_batches(spark)
     known = docs.where("doc_id is not null")
     if known.agg((F.count("*") == F.count_distinct("doc_id")).alias("single")).first()["single"]:
         copies = written(near.minhash_dedup(docs).where(~F.col("kept")).select("doc_id"), "near-copies")
@@ -81,6 +85,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences; a null text is empty, rows that repeat an id or have none are documents of their own."""
+    small_batches(spark)
     return packing.pack(docs, PACKING_VOCABULARY())
 
 

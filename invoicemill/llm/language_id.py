@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from invoicemill.llm.texts import beside_text, mix, runs_of_rows, text_bytes
+from invoicemill.llm.texts import beside_text, give_back, mix, runs_of_rows, text_bytes
 
 ORDER = 4
 SAMPLE_DOCS = 500
@@ -240,6 +240,7 @@ def _predict(model):
                                                  ["row", "text", *ADDED])
             del batch, part
             pa.default_memory_pool().release_unused()
+        give_back()
     return run
 
 

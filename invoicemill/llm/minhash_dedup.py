@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from invoicemill.llm.components import components
-from invoicemill.llm.texts import groups, lower_ascii, mix, runs_of_rows, text_bytes, word_hashes
+from invoicemill.llm.texts import give_back, groups, lower_ascii, mix, runs_of_rows, text_bytes, word_hashes
 from invoicemill.session import written
 
 SHINGLE_WORDS = 5
@@ -89,6 +89,7 @@ def _sketches(words: int, k: int):
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *tops])))],
                 ["doc_id", "n_shingles", "set_high", "set_low", "sketch"])
+        give_back()
     return run
 
 
@@ -111,6 +112,7 @@ def _sets(words: int):
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(
                     pa.array(ends), pa.array(np.concatenate(found)))], ["doc_id", "members"])
+        give_back()
     return run
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from invoicemill.llm.texts import runs_of_rows, text_bytes
+from invoicemill.llm.texts import give_back, runs_of_rows, text_bytes
 from invoicemill.llm.word_ids import word_ids
 from invoicemill.session import written
 
@@ -98,6 +98,7 @@ def _pieces(path: str, window: int, end_id: int, with_ids: bool):
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][:len(columns)])
             del batch, data
             pa.default_memory_pool().release_unused()
+        give_back()
     return run
 
 

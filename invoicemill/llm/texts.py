@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,6 +105,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[where[0]:where[-1]], where - where[0]
 
 
+def give_back() -> None:
+    """At the end of a task: freed memory goes back to the system; a worker that waits for the next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim:
+        trim(0)
+
+
 def beside_text(docs: DataFrame, text_col: str, replaced: tuple[str, ...]) -> tuple[DataFrame, StructType, list[Column]]:
     """(rows of ``row``, the other columns in a struct, and ``text``; their schema; the columns as they were, without those replaced).
 

@@ -15,6 +15,10 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 TEXT_GROUPS = {"parquet.block.size": 4 << 20}
 COMPACT = {"compression": "zstd"}       # for landed tables that cheap work reads: some two thirds of the bytes
 
+# What a task holds of the texts at once, outside and inside the heap. By default 10,000 rows (64 MB) go to a Python worker at once and 4,096 rows are
+# decoded at once, so a task holds its whole share of the documents several times.
+TEXT_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
+
 
 def local_session(cores: str = "8", name: str = "invoicemill") -> SparkSession:
     """Session for tests and the benchmark; on a cluster use the session it gives."""
@@ -29,6 +33,13 @@ def local_session(cores: str = "8", name: str = "invoicemill") -> SparkSession:
     )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session reads and hands on texts in small batches; what it sets itself stays. Results do not depend on it."""
+    for key, value in TEXT_BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names. Only a local session may fall back to its own."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()

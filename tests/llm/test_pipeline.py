@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -94,3 +95,24 @@ def test_stages_keep_columns_that_clash(spark, planted):
         left = after.collect()
         assert left and not {str(r) for r in left} - {str(r) for r in docs.collect()}
         assert stage(spark, docs.where("false"), "").count() == 0
+
+
+def test_stages_hand_on_small_batches(spark):
+    """A task holds 2 MB of texts and a row at once, not all its rows; a size that the session has of its own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, "s", "en", 0, sentence(ENGLISH, i, 20_000)) for i in range(100)], SCHEMA).coalesce(1)
+
+    def largest():
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+        return docs.select("text").mapInArrow(sizes, "size bigint").agg({"size": "max"}).first()[0]
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        stage(spark, docs.limit(3), "")
+        assert largest() < 3 << 20
+        spark.conf.set(key, "1m")
+        stage(spark, docs.limit(3), "")
+        assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
