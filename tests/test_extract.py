@@ -4,6 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from invoicemill.functions.text import short_runs
 from invoicemill.operators import extract as x
 from tests.samples import EXPECTED, LARGE, PLAIN
 
@@ -191,3 +192,17 @@ def test_items_are_worked_out_once(spark):
     plan = items._jdf.queryExecution().optimizedPlan().toString()
     once = x.extract(texts).select("line_items")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == once.count("regexp_extract_all") == 1
+
+
+def test_fields_are_the_same_in_short_runs(spark):
+    """Runs of blanks and rules are cut short for labelled fields; what they give, and where one blank counts, stays."""
+    rule = "─" * 61 + "═" * 23
+    texts = [PLAIN, f"Invoice Number:{' ' * 17}A-17\n{rule}TOTAL DUE:{' ' * 40}1,234.50{rule}\nPO{' ' * 8}1234\n{rule}",
+             f"Subtotal:{' ' * 31}99.10 {rule}\n{' ' * 9}Subtotal TOTAL 5.00\nx{rule} Total{' ' * 8}:{' ' * 9}$7.25 ── 8.00\nTax (7.5%):{' ' * 16}1.00",
+             f"INV{' ' * 8}2026{' ' * 8}12\nInvoice Date{' ' * 12}:{' ' * 9}March 5,{' ' * 8}2026\nDue Date: May{' ' * 8}5, 2026 {rule}", "", "TOTAL AMOUNT 3.00 total 4.00"]
+    fields = {"number": x.invoice_number, "issued": x.invoice_date, "due": x.due_date, "po": x.po_number, "subtotal": x.subtotal_text, "total": x.total_text,
+              "rate": lambda c: x.tax_texts(c)[0], "tax": lambda c: x.tax_texts(c)[1]}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = lambda c: [tuple(r) for r in df.select(*[f(c).alias(n) for n, f in fields.items()]).collect()]
+    assert read(short_runs(F.col("t"))) == read(F.col("t"))
+    assert df.select(F.max(F.length(short_runs(F.lit(rule + " " * 80)))).alias("n")).first().n < 60
